@@ -20,6 +20,24 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
+def join_key(col: str | Column) -> Column:
+    """A non-nullable join key for a nullable id: ``struct(has_id, coalesce(id, ''))``.
+
+    Equi joins on a nullable key make the optimizer infer ``id IS NOT NULL`` on the
+    other side and push it below the projections that derive the id, so expensive
+    derivations (JSON parsing) run twice. A key that cannot be null gives it nothing
+    to infer; rows without an id share one key that carries no winner flag.
+    """
+    c = F.col(col) if isinstance(col, str) else col
+    return F.struct(c.isNotNull().alias("k"), F.coalesce(c, F.lit("")).alias("v"))
+
+
+def present_key(col: str | Column) -> Column:
+    """``join_key`` of a column known to hold an id."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.struct(F.lit(True).alias("k"), F.coalesce(c, F.lit("")).alias("v"))
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the frame provably has at most ``max_rows`` rows.
 
@@ -36,11 +54,19 @@ def order_struct(cols: Sequence[str | Column]) -> Column:
 
 def winners(rows: DataFrame, key: str, order_cols: Sequence[str | Column], *, newest: bool = True,
             eligible: Column | None = None, out: str = "_winner") -> DataFrame:
-    """One row per non-null key: the largest (``newest``) or smallest order struct."""
-    src = rows if eligible is None else rows.filter(eligible)
-    src = src.filter(F.col(key).isNotNull())
+    """One row per key: the largest (``newest``) or smallest order struct among eligible rows.
+
+    No filter is applied before the aggregate: a filter on a derived key would be
+    pushed below the projections that derive it and evaluate them twice (for JSON
+    keys, a second parse). The null-key group is kept instead; partial aggregation
+    collapses it to one row per task and it never matches in the join back.
+    Ineligible rows contribute a null order (ignored by ``max``/``min``).
+    """
+    order = order_struct(order_cols)
+    if eligible is not None:
+        order = F.when(eligible, order)
     agg = F.max if newest else F.min
-    return src.groupBy(key).agg(agg(order_struct(order_cols)).alias(out))
+    return rows.groupBy(key).agg(agg(order).alias(out))
 
 
 def history_hits(batch_keys: DataFrame, history: DataFrame, key: str,

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
-from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, history_hits, order_struct, winners
+from eventsieve.operators.keys import (DEFAULT_BROADCAST_ROWS, history_hits, join_key, order_struct,
+                                      present_key, winners)
 
 DEFAULT_ORDER = ("arrival_ts", "seq")
 
@@ -92,18 +93,22 @@ def validate_events(parsed: DataFrame, history: DataFrame | None = None, *,
         parsed = parse_events(parsed)
     rules9 = rule_columns(allowed_types, allowed_sources, strict_ts=strict_ts, strict_payload=strict_payload)
     eid = _field("event_id")
-    rows = parsed.withColumn("_id", F.when(F.col("json_ok") & R.present(eid), eid)).withColumn(
-        "_order", order_struct(order_by)
+    rows = (
+        parsed.withColumn("_id", F.when(F.col("json_ok") & R.present(eid), eid))
+        .withColumn("_jk", join_key("_id"))
+        .withColumn("_order", order_struct(order_by))
     )
     eligible = None
     if dedup_valid_only:
         eligible = F.size(F.array_compact(F.array(*rules9))) == 0
-    keys = winners(rows, "_id", ["_order"], newest=True, eligible=eligible, out="_winner")
+    keys = winners(rows, "_jk", ["_order"], newest=True, eligible=eligible, out="_winner")
     if history is not None:
-        hits = history_hits(keys, history, "_id", broadcast_rows).withColumn("_seen", F.lit(True))
-        keys = keys.join(hits, "_id", "left")
-    # Left join back on the id (null ids never match); AQE splits a hot id's partition.
-    joined = rows.join(keys, "_id", "left")
+        cand = keys.select(F.col("_jk.v").alias("_hid"))
+        hits = history_hits(cand, history, "_hid", broadcast_rows)
+        hits = hits.select(present_key("_hid").alias("_jk"), F.lit(True).alias("_seen"))
+        keys = keys.join(hits, "_jk", "left")
+    # Left join back on the non-null key; AQE splits a hot id's partition.
+    joined = rows.join(keys, "_jk", "left")
     newest = F.col("_winner").isNull() | (F.col("_order") == F.col("_winner._order"))
     dup_batch = F.when(F.col("_id").isNotNull() & ~newest, F.lit(R.MSG_BATCH_DUP))
     dup_hist = F.when(F.col("json_ok") & F.coalesce(F.col("_seen"), F.lit(False)), F.lit(R.MSG_HISTORY_DUP)) \
@@ -158,9 +163,13 @@ def feed_ratio(parsed: DataFrame, *, allowed_types: Sequence[str] = R.DEFAULT_EV
         parsed = parse_events(parsed)
     ok = F.col("json_ok")
     eid = _field("event_id")
-    rows = parsed.withColumn("_id", F.when(ok & R.present(eid), eid)).withColumn("_order", order_struct(order_by))
-    firsts = winners(rows, "_id", ["_order"], newest=False, out="_first")
-    joined = rows.join(firsts, "_id", "left")
+    rows = (
+        parsed.withColumn("_id", F.when(ok & R.present(eid), eid))
+        .withColumn("_jk", join_key("_id"))
+        .withColumn("_order", order_struct(order_by))
+    )
+    firsts = winners(rows, "_jk", ["_order"], newest=False, out="_first")
+    joined = rows.join(firsts, "_jk", "left")
     first = F.col("_id").isNotNull() & (F.col("_order") == F.col("_first._order"))
     etype, ets, src = _field("event_type"), _field("event_ts"), _field("source")
     good = (

@@ -51,12 +51,30 @@ def rejects(spark: SparkSession, d: str) -> DataFrame:
     return split(spark, d)[1]
 
 
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to the shared scratch folder and read it back.
+
+    Used where a query reads the same derived table several times (as the stored
+    raw and rejects tables are read by the summary and recovery jobs): the lineage is
+    cut and the upstream work runs once.
+    """
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def stored_split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The raw and rejects tables as an ingest run leaves them (written, then read)."""
+    valid, rej = split(spark, d)
+    return stage(spark, valid, "raw"), stage(spark, rej, "rejects")
+
+
 def ledger(spark: SparkSession, d: str) -> DataFrame:
     return L.stock_ledger(fx.stock_moves(spark, d))
 
 
 def recovered(spark: SparkSession, d: str) -> DataFrame:
-    valid, rej = split(spark, d)
+    valid, rej = stored_split(spark, d)
     return H.recover(rej, valid.select("event_id"), **HEAL)
 
 
@@ -145,14 +163,14 @@ def q_unknown_skus(spark, d):
 
 
 def q_low_stock_or_fallback(spark, d):
-    r = raw(spark, d)
+    r = stored_split(spark, d)[0]
     return S.low_stock_or_fallback(S.low_stock_alerts(r), r, fx.catalog(spark, d))
 
 
 def q_low_stock_fallback_branch(spark, d):
     """U3, fallback branch: the curated side (events below level 0) is empty, so the
     latest-state low SKUs of raw are returned."""
-    r = raw(spark, d)
+    r = stored_split(spark, d)[0]
     return S.low_stock_or_fallback(S.low_stock_alerts(r, threshold=0), r, fx.catalog(spark, d))
 
 
@@ -165,7 +183,7 @@ def q_top_categories_lineitem(spark, d):
 
 
 def q_kpis(spark, d):
-    valid, rej = split(spark, d)
+    valid, rej = stored_split(spark, d)
     return S.kpis(valid, S.low_stock_alerts(valid), rej)
 
 
@@ -178,7 +196,7 @@ def q_top_sku(spark, d):
 
 
 def q_insights(spark, d):
-    valid, rej = split(spark, d)
+    valid, rej = stored_split(spark, d)
     return S.insights(valid, S.low_stock_alerts(valid), rej, fx.catalog(spark, d))
 
 
@@ -211,7 +229,7 @@ def q_restock_summary(spark, d):
 
 
 def q_heal_rejects(spark, d):
-    h = H.heal_rejects(rejects(spark, d), **HEAL)
+    h = H.heal_rejects(stored_split(spark, d)[1], **HEAL)
     return h.select("json_string", *[c for c in schemas.ENVELOPE_FIELDS if c != "payload"],
                     *[F.col(f"payload.{c}").alias(c) for c in schemas.PAYLOAD_FIELDS])
 
@@ -223,19 +241,19 @@ def q_recover(spark, d):
 
 
 def q_recover_pending(spark, d):
-    valid, rej = split(spark, d)
+    valid, rej = stored_split(spark, d)
     rec = H.recover(rej, valid.select("event_id"), **HEAL)
     return H.pending_rejects(rej, H.handled_keys(rec))
 
 
 def q_union_files(spark, d):
-    valid, rej = split(spark, d)
+    valid, rej = stored_split(spark, d)
     return S.top_items(valid).unionByName(rej.select("event_id", "rejection_reason", "json_string"),
                                           allowMissingColumns=True)
 
 
 def q_raw_after_recovery(spark, d):
-    valid, rej = split(spark, d)
+    valid, rej = stored_split(spark, d)
     rec = H.recover(rej, valid.select("event_id"), **HEAL)
     return Q.flatten_raw(H.raw_after_recovery(valid, rec))
 

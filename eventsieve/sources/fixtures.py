@@ -30,8 +30,27 @@ FIXTURE_DUP_OFFSET = 59
 # -----------------------------------------------------------------------------------
 
 
+# Fact tables whose scans feed per-row JSON work.
+FACT_TABLES = {"events": "event_id", "lineitem": "l_orderkey"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df, FACT_TABLES[name]) if name in FACT_TABLES else df
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer splits than the cluster has cores.
+
+    A file written as one row group is read by one task, and every narrow step
+    after it (line building, JSON parsing) would run single-threaded. On real
+    input (many files and row groups) the scan is already wide and this is a no-op.
+    Hash partitioning on a key keeps task retries deterministic.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, key)
 
 
 def _s(c: Column | int | str) -> Column:
