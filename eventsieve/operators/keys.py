@@ -18,6 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_BROADCAST_ROWS = 1_000_000
+# A key with more rows than this is "hot": its rows are not sent to one shuffle
+# partition. The hot-key table has at most (rows / HOT_KEY_ROWS) entries.
+HOT_KEY_ROWS = 1_000_000
 
 
 def join_key(col: str | Column) -> Column:
@@ -54,19 +57,52 @@ def order_struct(cols: Sequence[str | Column]) -> Column:
 
 def winners(rows: DataFrame, key: str, order_cols: Sequence[str | Column], *, newest: bool = True,
             eligible: Column | None = None, out: str = "_winner") -> DataFrame:
-    """One row per key: the largest (``newest``) or smallest order struct among eligible rows.
+    """One row per key: the largest (``newest``) or smallest order struct among eligible
+    rows, and ``_n``, the key's row count (used to find hot keys).
 
     No filter is applied before the aggregate: a filter on a derived key would be
     pushed below the projections that derive it and evaluate them twice (for JSON
-    keys, a second parse). The null-key group is kept instead; partial aggregation
-    collapses it to one row per task and it never matches in the join back.
-    Ineligible rows contribute a null order (ignored by ``max``/``min``).
+    keys, a second parse). Ineligible rows contribute a null order (ignored by
+    ``max``/``min``). Partial aggregation makes a hot key cost one row per map task.
     """
     order = order_struct(order_cols)
     if eligible is not None:
         order = F.when(eligible, order)
     agg = F.max if newest else F.min
-    return rows.groupBy(key).agg(agg(order).alias(out))
+    return rows.groupBy(key).agg(agg(order).alias(out), F.count(F.lit(1)).alias("_n"))
+
+
+def join_back(rows: DataFrame, keys: DataFrame, key: str, *, spread: Column | None = None,
+              hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
+    """Left join per-key results (one row per key, with ``_n``) back to the rows, skew-safe.
+
+    Keys with more than ``hot_rows`` rows are split off: their results (at most
+    rows / hot_rows entries, a proven bound) are broadcast and joined map-side. Those
+    rows, and rows for which ``spread`` is true (e.g. rows without an id, whose key
+    carries no result), are sent through the shuffle join under a per-row key that
+    matches nothing, so they spread evenly over all partitions instead of landing
+    in one task. All other rows join the cold keys by a normal shuffle join. The rows
+    are read once.
+
+    ``key`` must be a non-null struct ``(k boolean, v string)`` (see ``join_key``) and
+    the rows need an ``_order`` column that is unique per row (the spread key).
+    """
+    info = [c for c in keys.columns if c not in (key, "_n")]
+    hot = keys.filter(F.col("_n") > F.lit(hot_rows)).select(
+        key, *[F.col(c).alias(f"_hot{c}") for c in info], F.lit(True).alias("_hot")
+    )
+    tagged = rows.join(F.broadcast(hot), key, "left")
+    is_hot = F.col("_hot").isNotNull()
+    if spread is not None:
+        is_hot = is_hot | spread
+    spread_key = F.struct(F.lit(False).alias("k"),
+                          F.concat(F.lit("\u0001"), F.xxhash64("_order").cast("string")).alias("v"))
+    tagged = tagged.withColumn("_jk2", F.when(is_hot, spread_key).otherwise(F.col(key)))
+    cold = keys.select(F.col(key).alias("_jk2"), *info)
+    joined = tagged.join(cold, "_jk2", "left")
+    merged = [F.coalesce(F.col(f"_hot{c}"), F.col(c)).alias(c) for c in info]
+    keep = [c for c in rows.columns]
+    return joined.select(*keep, *merged)
 
 
 def history_hits(batch_keys: DataFrame, history: DataFrame, key: str,

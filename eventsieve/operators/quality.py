@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
-from eventsieve.operators.keys import (DEFAULT_BROADCAST_ROWS, history_hits, join_key, order_struct,
-                                      present_key, winners)
+from eventsieve.operators.keys import (DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS, history_hits, join_back, join_key,
+                                      order_struct, present_key, winners)
 
 DEFAULT_ORDER = ("arrival_ts", "seq")
 
@@ -78,7 +78,8 @@ def validate_events(parsed: DataFrame, history: DataFrame | None = None, *,
                     order_by: Sequence[str | Column] = DEFAULT_ORDER,
                     strict_ts: bool = False, strict_payload: bool = False,
                     dedup_valid_only: bool = False,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """V1-V12 over a parsed batch; returns the input columns plus ``errors``.
 
     * V10: a row with an id that is not the newest row of that id in the batch
@@ -107,8 +108,10 @@ def validate_events(parsed: DataFrame, history: DataFrame | None = None, *,
         hits = history_hits(cand, history, "_hid", broadcast_rows)
         hits = hits.select(present_key("_hid").alias("_jk"), F.lit(True).alias("_seen"))
         keys = keys.join(hits, "_jk", "left")
-    # Left join back on the non-null key; AQE splits a hot id's partition.
-    joined = rows.join(keys, "_jk", "left")
+    else:
+        keys = keys.withColumn("_seen", F.lit(None).cast("boolean"))
+    # Join back; hot ids and id-less rows are spread, not sent to one task.
+    joined = join_back(rows, keys, "_jk", spread=F.col("_id").isNull(), hot_rows=hot_rows)
     newest = F.col("_winner").isNull() | (F.col("_order") == F.col("_winner._order"))
     dup_batch = F.when(F.col("_id").isNotNull() & ~newest, F.lit(R.MSG_BATCH_DUP))
     dup_hist = F.when(F.col("json_ok") & F.coalesce(F.col("_seen"), F.lit(False)), F.lit(R.MSG_HISTORY_DUP)) \
@@ -152,7 +155,7 @@ def batch_counts(validated: DataFrame) -> DataFrame:
 
 def feed_ratio(parsed: DataFrame, *, allowed_types: Sequence[str] = R.DEFAULT_EVENT_TYPES,
                allowed_sources: Sequence[str] = R.DEFAULT_SOURCES,
-               order_by: Sequence[str | Column] = ("seq",)) -> DataFrame:
+               order_by: Sequence[str | Column] = ("seq",), hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """A10: valid/bad counts of a feed, the **first** line of an id counting as valid.
 
     A line is valid when it parses, has a non-empty id seen for the first time (in
@@ -169,7 +172,7 @@ def feed_ratio(parsed: DataFrame, *, allowed_types: Sequence[str] = R.DEFAULT_EV
         .withColumn("_order", order_struct(order_by))
     )
     firsts = winners(rows, "_jk", ["_order"], newest=False, out="_first")
-    joined = rows.join(firsts, "_jk", "left")
+    joined = join_back(rows, firsts, "_jk", spread=F.col("_id").isNull(), hot_rows=hot_rows)
     first = F.col("_id").isNotNull() & (F.col("_order") == F.col("_first._order"))
     etype, ets, src = _field("event_type"), _field("event_ts"), _field("source")
     good = (

@@ -28,9 +28,15 @@ HEAL = {**RULES, "source_map": fx.FIXTURE_SOURCE_REPAIR}
 FLAT = [c for c in schemas.ENVELOPE_FIELDS if c != "payload"] + schemas.PAYLOAD_FIELDS
 
 
-# ---- shared building blocks (lazy plans; nothing is executed here) ---------------------
+# ---- shared building blocks ---------------------------------------------------------------
+def lines(spark: SparkSession, d: str) -> DataFrame:
+    """The feed as stored lines: the fixture is built once and written, as a topic dump or
+    landing folder would hold it, so every later filter on the line is a column filter."""
+    return stage(spark, fx.raw_lines(spark, d), "lines")
+
+
 def parsed(spark: SparkSession, d: str) -> DataFrame:
-    return Q.parse_events(fx.raw_lines(spark, d))
+    return Q.parse_events(lines(spark, d))
 
 
 def validated(spark: SparkSession, d: str, with_history: bool = False) -> DataFrame:
@@ -121,8 +127,8 @@ def q_event_key(spark, d):
     """F20 + F22 + S8: lines trimmed, blank lines dropped, routing key per line."""
     from eventsieve.functions.rules import event_key
 
-    lines = fx.raw_lines(spark, d).select("seq", F.trim("json_string").alias("json_string"))
-    return lines.filter(F.col("json_string") != "").select("seq", event_key(F.col("json_string")).alias("event_key"))
+    trimmed = lines(spark, d).select("seq", F.trim("json_string").alias("json_string"))
+    return trimmed.filter(F.col("json_string") != "").select("seq", event_key(F.col("json_string")).alias("event_key"))
 
 
 def q_top_items(spark, d):
