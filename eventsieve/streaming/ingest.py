@@ -18,15 +18,17 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from collections import deque
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
-from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS
+from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS
 from eventsieve.operators.quality import batch_counts, parse_events, split_events, validate_events
 from eventsieve.sources.readers import history_ids
 from eventsieve.streaming.sinks import batch_folder, layout_filter, write_batch
@@ -45,6 +47,7 @@ class IngestConfig:
     order_by: Sequence[str] = ("arrival_ts", "seq")
     files_per_batch: int | None = None
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    hot_rows: int = HOT_KEY_ROWS
     source_name: str = "lines"
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
@@ -60,7 +63,7 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: DataFrame, batc
             hist = history_ids(spark, cfg.raw_path, exclude=layout_filter(ORIGIN_STREAM, cfg.ingest_name, batch_id))
             validated = validate_events(
                 parsed, hist, allowed_types=cfg.allowed_types, allowed_sources=cfg.allowed_sources,
-                order_by=cfg.order_by, broadcast_rows=cfg.broadcast_rows,
+                order_by=cfg.order_by, broadcast_rows=cfg.broadcast_rows, hot_rows=cfg.hot_rows,
             ).persist()
             try:
                 counts = batch_counts(validated).first().asDict()
@@ -123,3 +126,33 @@ def metrics_totals(metrics: DataFrame) -> DataFrame:
         F.sum("valid_records").alias("valid_records"),
         F.sum("rejected_records").alias("rejected_records"),
     )
+
+
+class ProgressLog(StreamingQueryListener):
+    """ST8: the last ``keep`` progress reports of all queries (batch id, input rows, durations).
+
+    Bounded on the driver; the durable per-batch record is the metrics table.
+    """
+
+    def __init__(self, keep: int = 200):
+        self.events: deque = deque(maxlen=keep)
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802 (listener API)
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        p = event.progress
+        self.events.append({"query_id": str(p.id), "batch_id": p.batchId, "input_rows": p.numInputRows,
+                            "duration_ms": dict(p.durationMs or {})})
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        pass
+
+
+def attach_progress_log(spark: SparkSession, keep: int = 200) -> ProgressLog:
+    log = ProgressLog(keep)
+    spark.streams.addListener(log)
+    return log

@@ -20,11 +20,22 @@ def cfg(base, name="t"):
 
 
 def test_single_batch_equals_batch_split(spark, scratch):
+    import time
+
     lines = fx.raw_lines(spark, SF001)
     lines.write.parquet(f"{scratch}/in")
     c = cfg(scratch)
-    q = I.start_ingest(read_lines_stream(spark, f"{scratch}/in"), c, f"{scratch}/ckpt", available_now=True)
-    I.run_until_done(q, 600)
+    log = I.attach_progress_log(spark)
+    try:
+        q = I.start_ingest(read_lines_stream(spark, f"{scratch}/in"), c, f"{scratch}/ckpt", available_now=True)
+        I.run_until_done(q, 600)
+        for _ in range(50):
+            if any(e["input_rows"] for e in log.events):
+                break
+            time.sleep(0.2)
+        assert sum(e["input_rows"] for e in log.events) == 1000
+    finally:
+        spark.streams.removeListener(log)
     raw = read_raw(spark, c.raw_path)
     rej = read_rejects(spark, c.rejects_path)
     assert raw.count() == 900 and rej.count() == 100
@@ -34,12 +45,8 @@ def test_single_batch_equals_batch_split(spark, scratch):
 
 
 def test_two_batches_cross_batch_duplicate(spark, scratch):
-    from eventsieve.operators.quality import parse_events  # noqa: F401
-
     a = '{"event_id":"e1","event_type":"view","event_ts":"2024-01-01T00:00:00Z","source":"app","entity_id":"S","payload":{"sku_id":"S","quantity_delta":1,"current_stock_level":5,"checkout_lane":null,"price":1.0}}'
     b = a.replace('"e1"', '"e2"')
-    lines_df(spark, [(1, 0, a), (2, 1, b)]).coalesce(1).write.parquet(f"{scratch}/in/f1")
-    lines_df(spark, [(3, 2, a)]).coalesce(1).write.parquet(f"{scratch}/in/f2")
     c = cfg(scratch)
     s1 = lines_df(spark, [(1, 0, a), (2, 1, b)])
     s2 = lines_df(spark, [(3, 2, a)])
