@@ -4,10 +4,11 @@ Why not ``row_number() over (partition by id ...)``: a window sends every row of
 a key to one task and cannot be split, so one hot id (or the null id of
 malformed lines) would sort a third of the data in a single task. Here the
 per-key winner is computed by an aggregate (partial aggregation collapses a hot
-key map-side before the shuffle), then joined back to the rows. The join-back is
-a plain equi join whose skewed partitions AQE splits at run time
-(``spark.sql.adaptive.skewJoin.enabled``), and it becomes a broadcast join by
-itself when the measured key table is small.
+key map-side before the shuffle), then joined back to the rows with
+``join_back``. AQE's skew-join rule does not split that join (its right side is
+an aggregate, not a bare shuffle), so ``join_back`` splits hot keys itself: their
+results are broadcast (bounded by rows / hot_rows) and their rows are spread over
+all partitions.
 """
 
 from __future__ import annotations

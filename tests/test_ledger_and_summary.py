@@ -113,3 +113,36 @@ def test_coalesce_controls_file_count(spark, scratch):
 
     write_table(spark.range(100).repartition(8), f"{scratch}/t", files=2)
     assert len(glob.glob(f"{scratch}/t/*.parquet")) == 2
+
+
+def test_enrich_hot_sku_is_split_by_aqe(spark):
+    """Facts with one SKU holding a third of the rows, catalog too big to broadcast: the
+    shuffle join's skewed partition is split by AQE (both sides are plain shuffles)."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        facts = spark.range(30000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("S"), (F.col("id") % 500).cast("string")))
+            .alias("entity_id"), F.col("id"))
+        cat = spark.range(500).select(F.concat(F.lit("S"), F.col("id").cast("string")).alias("sku_id"),
+                                      F.lit("p").alias("product_name"), F.lit("c").alias("category"))
+        cat = cat.unionByName(spark.createDataFrame([("HOT", "hot", "h")], schemas.CATALOG))
+        out = summary.enrich(facts, cat, broadcast_rows=10)
+        out.write.format("noop").mode("overwrite").save()
+        assert out.count() == 30000
+        res = out.groupBy("category").count()
+        assert {r.category: r["count"] for r in res.collect()}["h"] == 10000
+        q = out.select("entity_id", "category")
+        q.collect()
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan, plan
+    finally:
+        for k in conf:
+            spark.conf.unset(k)
