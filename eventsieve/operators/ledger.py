@@ -30,17 +30,26 @@ DEFAULT_CHUNK_SECONDS = 3600
 
 def running_sum(df: DataFrame, key: str, ts: str, tie: str, value: str, out: str,
                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
-    """Inclusive running sum of ``value`` per ``key`` ordered by ``(ts, tie)``."""
+    """Inclusive running sum of ``value`` per ``key`` ordered by ``(ts, tie)``.
+
+    The join with the chunk offsets and the final window both use ``_kc =
+    struct(key, chunk)``: a struct is never null (so rows without a key or a time
+    still meet their offsets) and one hash partitioning serves both, so the rows are
+    shuffled once.
+    """
     secs = F.unix_seconds(F.col(ts).cast("timestamp"))
     rows = df.withColumn("_chunk", F.floor(secs / F.lit(chunk_seconds)))
+    rows = rows.withColumn("_kc", F.struct(F.col(key).alias("k"), F.col("_chunk").alias("c")))
     totals = rows.groupBy(key, "_chunk").agg(F.sum(value).alias("_chunk_sum"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(key, "_chunk", F.coalesce(F.sum("_chunk_sum").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(key, "_chunk").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # Rows without a time form a null chunk that sorts first; it matches no offset (0).
-    joined = rows.join(offsets, [key, "_chunk"], "left")
+    offsets = totals.select(
+        F.struct(F.col(key).alias("k"), F.col("_chunk").alias("c")).alias("_kc"),
+        F.coalesce(F.sum("_chunk_sum").over(before), F.lit(0)).alias("_offset"),
+    )
+    within = Window.partitionBy("_kc").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = rows.join(offsets, "_kc", "left")
     return joined.withColumn(out, (F.coalesce(F.col("_offset"), F.lit(0)) + F.sum(value).over(within)).cast("long")) \
-        .drop("_chunk", "_offset")
+        .drop("_chunk", "_offset", "_kc")
 
 
 def stock_ledger(moves: DataFrame, starting: DataFrame | None = None, *,

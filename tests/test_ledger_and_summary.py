@@ -21,6 +21,8 @@ def moves(spark, n=400, skus=3, seed=7):
     # one hot SKU with many rows in one chunk, and one row without a time
     rows += [("HOT", base + timedelta(seconds=5), 10_000 + j, 1) for j in range(50)]
     rows.append(("S0", None, 99_999, 3))
+    # rows without a SKU, spread over several chunks
+    rows += [(None, base + timedelta(seconds=700 * j), 20_000 + j, 2) for j in range(10)]
     return spark.createDataFrame(rows, "sku_id string, ts timestamp, event_id long, delta int")
 
 
