@@ -36,7 +36,9 @@ def lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def parsed(spark: SparkSession, d: str) -> DataFrame:
-    return Q.parse_events(lines(spark, d))
+    """The feed parsed once and written (line, gate, envelope), as the streaming ingest
+    persists each parsed micro-batch; validation and its join back read it twice."""
+    return stage(spark, Q.parse_events(fx.raw_lines(spark, d)), "parsed")
 
 
 def validated(spark: SparkSession, d: str, with_history: bool = False) -> DataFrame:
