@@ -23,22 +23,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventsieve.functions.rules import DEFAULT_STARTING_STOCK, RESTOCK_TRIGGER_LEVEL
-from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS, sized_broadcast
 
 DEFAULT_CHUNK_SECONDS = 3600
 
 
 def running_sum(df: DataFrame, key: str, ts: str, tie: str, value: str, out: str,
-                chunk_seconds: int = DEFAULT_CHUNK_SECONDS) -> DataFrame:
+                chunk_seconds: int = DEFAULT_CHUNK_SECONDS, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Inclusive running sum of ``value`` per ``key`` ordered by ``(ts, tie)``.
 
+    Rows fall into time chunks of ``chunk_seconds``. A chunk of one key with more than
+    ``hot_rows`` rows is cut into ``ceil(rows / hot_rows)`` equal time slices (the table
+    of such chunks has at most rows / hot_rows entries and is broadcast), so no single
+    task holds a hot key's busy hour. Slices are contiguous in time, so the order of the
+    sum is kept.
+
     The join with the chunk offsets and the final window both use ``_kc =
     struct(key, chunk)``: a struct is never null (so rows without a key or a time
     still meet their offsets) and one hash partitioning serves both, so the rows are
     shuffled once.
     """
     secs = F.unix_seconds(F.col(ts).cast("timestamp"))
-    rows = df.withColumn("_chunk", F.floor(secs / F.lit(chunk_seconds)))
+    coarse = F.floor(secs / F.lit(chunk_seconds))
+    rows = df.withColumn("_c", coarse).withColumn("_kc0", F.struct(F.col(key).alias("k"), F.col("_c").alias("c")))
+    hot = (
+        rows.groupBy("_kc0").agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > F.lit(hot_rows))
+        .select("_kc0", F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(chunk_seconds)).alias("_f"))
+    )
+    rows = rows.join(F.broadcast(hot), "_kc0", "left")
+    offset_in_chunk = secs - F.col("_c") * F.lit(chunk_seconds)
+    sub = F.coalesce(F.floor(offset_in_chunk * F.col("_f") / F.lit(chunk_seconds)), F.lit(0))
+    rows = rows.withColumn("_chunk", F.struct(F.col("_c").alias("c"), sub.alias("s"))).drop("_c", "_kc0", "_f")
     rows = rows.withColumn("_kc", F.struct(F.col(key).alias("k"), F.col("_chunk").alias("c")))
     totals = rows.groupBy(key, "_chunk").agg(F.sum(value).alias("_chunk_sum"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

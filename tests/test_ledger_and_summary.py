@@ -28,12 +28,16 @@ def moves(spark, n=400, skus=3, seed=7):
 
 def test_running_sum_equals_window(spark):
     m = moves(spark)
-    fast = ledger.running_sum(m, "sku_id", "ts", "event_id", "delta", "run", chunk_seconds=600)
+    base = datetime(2024, 1, 1)
+    # a busy SKU spread over one chunk: with hot_rows=20 its chunk is cut into time slices
+    busy = spark.createDataFrame([("BUSY", base + timedelta(seconds=3 * j), 30_000 + j, j % 5 - 2) for j in range(200)],
+                                 m.schema)
+    m = m.unionByName(busy)
     w = Window.partitionBy("sku_id").orderBy("ts", "event_id").rowsBetween(Window.unboundedPreceding, 0)
-    slow = m.withColumn("run", F.sum("delta").over(w).cast("long"))
-    a = sorted((r.event_id, r.run) for r in fast.collect())
-    b = sorted((r.event_id, r.run) for r in slow.collect())
-    assert a == b
+    slow = sorted((r.event_id, r.run) for r in m.withColumn("run", F.sum("delta").over(w).cast("long")).collect())
+    for hot in (1_000_000, 20):
+        fast = ledger.running_sum(m, "sku_id", "ts", "event_id", "delta", "run", chunk_seconds=600, hot_rows=hot)
+        assert sorted((r.event_id, r.run) for r in fast.collect()) == slow
 
 
 def test_ledger_and_restocks(spark):
