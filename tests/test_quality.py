@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from eventsieve.functions.rules import event_key
 from eventsieve.operators import quality as Q
 
-TYPE_OK = "inventory.stock_change"
-SRC_OK = "streamflow-producer"
+from eventsieve.functions.rules import DEFAULT_EVENT_TYPES, DEFAULT_SOURCES  # noqa: E402
+
+TYPE_OK = DEFAULT_EVENT_TYPES[0]
+SRC_OK = DEFAULT_SOURCES[0]
 
 
 def event(**over):

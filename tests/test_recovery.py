@@ -14,7 +14,9 @@ from eventsieve.plans.jobs import run_recovery
 from eventsieve.sources.readers import read_raw, read_rejects
 from eventsieve.streaming.sinks import write_batch
 
-T, S = "inventory.stock_change", "streamflow-producer"
+from eventsieve.functions.rules import DEFAULT_EVENT_TYPES, DEFAULT_SOURCES  # noqa: E402
+
+T, S = DEFAULT_EVENT_TYPES[0], DEFAULT_SOURCES[0]
 
 
 def ev(**over):
