@@ -45,10 +45,13 @@ def present_key(col: str | Column) -> Column:
 def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when the frame provably has at most ``max_rows`` rows.
 
-    The check reads at most ``max_rows + 1`` rows (a bounded job); beyond the bound
-    the frame is returned unhinted and Spark plans a shuffle join.
+    The bound is an exact, distributed ``count()`` (partial counts per partition, one
+    merged row). ``limit(n + 1).count()`` is not used: it plans a single-partition
+    exchange that can funnel up to partitions x (n + 1) rows into one task. Beyond the
+    bound the frame is returned unhinted and Spark plans a shuffle join (AQE may still
+    broadcast it if its measured size is small).
     """
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return F.broadcast(df) if n <= max_rows else df
 
 
