@@ -48,3 +48,16 @@ def test_fixture_shapes(spark):
     assert fx.history(spark, SF001).count() == 10
     assert fx.catalog(spark, SF001).count() == 180
     assert fx.sku_reference(spark, SF001).count() == 171
+
+
+def test_s9_corrupt_file_skipped_and_columns_unioned(spark, scratch):
+    from eventsieve import schemas
+
+    spark.createDataFrame([("x", "r1", "e1", None, None, None, None)], schemas.REJECTS) \
+        .write.parquet(f"{scratch}/rej/a")
+    spark.createDataFrame([("y", "r2")], "json_string string, rejection_reason string").write.parquet(f"{scratch}/rej/b")
+    with open(f"{scratch}/rej/b/part-99999-broken.parquet", "wb") as f:
+        f.write(b"not a parquet file")
+    df = readers.read_table(spark, f"{scratch}/rej/*", schemas.REJECTS, ignore_corrupt=True)
+    rows = sorted((r.json_string, r.event_id) for r in df.collect())
+    assert rows == [("x", "e1"), ("y", None)]
