@@ -43,3 +43,10 @@ COMMIT_CONF = {
     "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
     "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs": "true",
 }
+
+
+def apply_commit_conf(spark) -> dict[str, str]:
+    """K9: set the commit settings on the session (SQL writes read them into their Hadoop conf)."""
+    for k, v in COMMIT_CONF.items():
+        spark.conf.set(k, v)
+    return {k: spark.conf.get(k) for k in COMMIT_CONF}

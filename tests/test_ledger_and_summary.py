@@ -152,3 +152,14 @@ def test_enrich_hot_sku_is_split_by_aqe(spark):
     finally:
         for k in conf:
             spark.conf.unset(k)
+
+
+def test_k9_commit_conf_and_g2_debug_off(spark, capsys):
+    from eventsieve.streaming.sinks import COMMIT_CONF, apply_commit_conf
+
+    assert apply_commit_conf(spark) == COMMIT_CONF
+    tracker = spark.sparkContext.statusTracker()
+    before = len(tracker.getJobIdsForGroup(None))
+    checks.debug_show(raw_rows(spark), enabled=False)
+    assert len(tracker.getJobIdsForGroup(None)) == before
+    assert capsys.readouterr().out == ""
