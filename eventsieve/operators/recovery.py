@@ -116,15 +116,20 @@ def recovered_count(recovered: DataFrame) -> DataFrame:
 
 
 def pending_rejects(rejects: DataFrame, handled_keys: DataFrame | None) -> DataFrame:
-    """H8: rejects whose key is not in the handled ledger (``reject_key`` column)."""
+    """H8: rejects whose key is not in the handled ledger (``reject_key`` column).
+
+    The ledger side is not de-duplicated: an anti join does not need it, and with two
+    plain shuffles AQE can split a hot key (many identical quarantined lines).
+    """
     if handled_keys is None:
         return rejects
     keyed = rejects.withColumn("reject_key", reject_key())
-    return keyed.join(handled_keys.select("reject_key").distinct(), "reject_key", "left_anti").drop("reject_key")
+    return keyed.join(handled_keys.select("reject_key"), "reject_key", "left_anti").drop("reject_key")
 
 
 def handled_keys(recovered: DataFrame) -> DataFrame:
-    return recovered.select(reject_key().alias("reject_key")).distinct()
+    """Ledger rows for recovered lines (one per recovered row; repeats are harmless)."""
+    return recovered.select(reject_key().alias("reject_key"))
 
 
 def raw_after_recovery(raw: DataFrame, recovered: DataFrame) -> DataFrame:
