@@ -1,7 +1,7 @@
 """Write the final (post-AQE) physical plan trees of key queries to docs/PLANS.md.
 
 Usage: python scripts/explain_plans.py [sf_dir]
-Each query runs once (noop sink) so the adaptive plan is final; only the operator tree
+Each query is collected once (sf0.01 results are small) so its adaptive plan is final; only the operator tree
 and the scan lines (ReadSchema, PushedFilters, PartitionFilters) are kept.
 """
 
@@ -24,7 +24,7 @@ from eventsieve.streaming.sinks import layout_filter, write_batch  # noqa: E402
 
 
 def tree(df) -> str:
-    df.write.format("noop").mode("overwrite").save()
+    df.collect()  # runs this Dataset's own query execution, so its adaptive plan is final
     qe = df._jdf.queryExecution()
     plan = qe.executedPlan().toString()
     lines = []
