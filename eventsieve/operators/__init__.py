@@ -1,0 +1 @@
+"""eventsieve.operators."""

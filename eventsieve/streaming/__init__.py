@@ -1,0 +1 @@
+"""eventsieve.streaming."""
