@@ -25,7 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RULES = {"allowed_types": fx.FIXTURE_EVENT_TYPES, "allowed_sources": fx.FIXTURE_SOURCES}
 HEAL = {**RULES, "source_map": fx.FIXTURE_SOURCE_REPAIR}
-FLAT = [c for c in schemas.ENVELOPE_FIELDS if c != "payload"] + schemas.PAYLOAD_FIELDS
 
 
 # ---- shared building blocks ---------------------------------------------------------------
