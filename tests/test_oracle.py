@@ -13,8 +13,10 @@ sys.path.insert(0, os.path.join(ROOT, "scripts"))
 import __spark_entry__ as E  # noqa: E402
 from check_oracle import TABLES, rows_of  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+from eventsieve.plans.queries import QUERIES as OWN  # noqa: E402
+
+QUERIES = {k: v for k, v in E.queries().items() if k in OWN}
+SQL = {k: v for k, v in E.oracle_sql().items() if k in OWN}
 
 
 @pytest.fixture(scope="module")
