@@ -2,4 +2,59 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from .mixing import MAX_REPEATS, SHARE, WEIGHTS
+from .secrets import BASE, RULES
+
+SPACE = r"[\x20\x09-\x0D]"
+
+
+def _secret_spans() -> str:
+    """One list of spans per rule: gaps and matches alternate, so their lengths give the places."""
+    out = []
+    for i, r in enumerate(RULES):
+        p = "'" + r.pattern.replace("'", "''") + "'"
+        out.append(f"""(SELECT list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
+            'start': list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
+            'ord': {i},
+            'stop': list_sum(list_transform(gap[1:i], lambda x: length(x))) + list_sum(list_transform(m[1:i], lambda x: length(x))),
+            'fine': length(g[i]) >= {r.least}, 'kind': '{r.kind}'}}), lambda s: s.fine)
+          FROM (SELECT regexp_extract_all(t, {p}) AS m, regexp_extract_all(t, {p}, {r.group}) AS g, string_split_regex(t, {p}) AS gap))""")
+    return "list_sort(list_concat(" + ", ".join(out) + "))"
+
+
+def _joined(spans: str) -> str:
+    return f"coalesce(array_to_string(list_transform({spans}, lambda s: concat(s.kind, ':', s.start::BIGINT, ':', s.stop::BIGINT)), ','), '')"
+
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+f AS (SELECT doc_id, {_secret_spans()} AS found FROM d)
+SELECT doc_id, {", ".join(f"len(list_filter(found, lambda x: x.kind = '{k}'))::BIGINT AS n_{k}" for k in BASE)},
+  sha256({_joined(f"list_filter(found, lambda x: x.ord < {len(BASE)})")}) AS base_sha256, {_joined("found")} AS spans
+FROM f
+"""
+
+OP10 = rf"""
+WITH d AS (
+  SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) END::BIGINT AS size,
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS h
+  FROM documents),
+p AS (SELECT source, sum(size)::BIGINT AS source_size, [{", ".join(map(str, WEIGHTS))}][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(WEIGHTS)} + 1] AS w
+  FROM d GROUP BY source),
+l AS (SELECT *, ({SHARE}::DOUBLE * (sum(source_size) OVER ())::DOUBLE - (coalesce(sum({MAX_REPEATS} * source_size) OVER (
+      ORDER BY ({MAX_REPEATS} * source_size)::DOUBLE / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE)
+    / (sum(w) OVER (ORDER BY ({MAX_REPEATS} * source_size)::DOUBLE / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM p),
+t AS (SELECT source, source_size, least(({MAX_REPEATS} * source_size)::DOUBLE, (max(level) OVER ()) * w) AS target FROM l),
+r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS copies FROM t),
+c AS (SELECT d.*, r.source_size, r.target, r.copies, r.target - r.copies * r.source_size AS rest,
+    sum(size) OVER (PARTITION BY d.source ORDER BY h) AS upto, sum(size) OVER (PARTITION BY d.source, h) AS tied
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, source, size, source_size, target, (size * (copies
+  + CASE WHEN upto <= rest OR (upto - tied <= rest AND upto - rest < rest - (upto - tied)) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM c
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_secret_scans": OP4,
+    "op10_source_mix": OP10,
+}

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from eventsieve.session import scratch_path
+
+from . import mixing, ngram_join, quality, secrets
 from .common import staged, table
 
 
@@ -14,6 +16,25 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(stats, quality.fit(stats, table(spark, sf_dir, "labels")))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class, links and copies of every document."""
+    found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document, through a blob ledger that starts empty."""
+    return secrets.findings_by_document(table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
+
+
+def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes from every document, with its source's target."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_secret_scans": op4_secret_scans,
+    "op10_source_mix": op10_source_mix,
 }
