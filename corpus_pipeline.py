@@ -1,13 +1,14 @@
 """Corpus pipeline: documents through the training-data stages, each written and read again.
 
-Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept.
+Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but
+the last return the columns of ``documents``; the last returns the tokens.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventsieve.llm import quality
+from eventsieve.llm import mixing, ngram_join, pieces, quality, secrets
 from eventsieve.llm.common import staged, table
 
 
@@ -17,8 +18,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs, quality.fit(stats, table(spark, sf_dir, "labels")))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of copies and near copies stays."""
+    return ngram_join.keep_one(docs)
+
+
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document stays, with the secrets in its text masked."""
+    return secrets.mask_secrets(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it."""
+    return mixing.take(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document."""
+    return pieces.encode_documents(docs)
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("secret scans", secret_scans),
+    ("source mix", source_mix),
+    ("tokens", tokens),
 ]
 
 #: The stages run a forest, MinHash and a token machine, which SQL can't express.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventsieve.session import scratch_path
 
-from . import mixing, ngram_join, quality, secrets
+from . import mixing, ngram_join, pieces, quality, secrets
 from .common import staged, table
 
 
@@ -27,6 +27,11 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings_by_document(table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, and whether decoding them gives the text back."""
+    return pieces.encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document, with its source's target."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -36,5 +41,6 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_scans": op4_secret_scans,
+    "op5_sentencepiece": op5_sentencepiece,
     "op10_source_mix": op10_source_mix,
 }
