@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from math import ceil
+
+from .licenses import CONTAINMENT, GAP, PHRASES, TEMPLATES, WINDOW
 from .mixing import MAX_REPEATS, SHARE, WEIGHTS
 from .secrets import BASE, RULES
 
@@ -26,6 +29,43 @@ def _joined(spans: str) -> str:
     return f"coalesce(array_to_string(list_transform({spans}, lambda s: concat(s.kind, ':', s.start::BIGINT, ':', s.stop::BIGINT)), ','), '')"
 
 
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+
+def _words(text: str) -> str:
+    return f"list_filter(string_split_regex({text}, '{GAP}'), lambda w: w <> '')"
+
+
+def _phrase_places(phrase: str) -> str:
+    same = " AND ".join(f"ws[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1))
+    return f"list_filter(range(0, len(ws)), lambda i: {same})"
+
+
+def _template_met(template: str) -> tuple[str, str]:
+    """Whether a block meets a template, and the best containment among blocks that do."""
+    own = sorted(set(template.split()))
+    held = f"coalesce(list_max(list_transform(blocks, lambda b: len(list_intersect({own}, b)))), 0)"
+    met = f"{held} >= {ceil(CONTAINMENT * len(own) - 1e-9)}"
+    return met, f"CASE WHEN {met} THEN {held}::DOUBLE / {len(own)} ELSE 0 END"
+
+
+OP2 = f"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS t FROM documents),
+w AS (SELECT doc_id, {_words("t")} AS ws,
+  flatten(list_transform(string_split(t, chr(10)), lambda l: list_transform(
+    range(0, greatest(len({_words("l")}) - {WINDOW // 2 + 1}, 0) + 1, {WINDOW // 2}), lambda s: {_words("l")}[s + 1:s + {WINDOW}]))) AS blocks FROM d),
+p AS (SELECT doc_id, len(ws) AS n_words, {", ".join(f"{_phrase_places(p)} AS p{i}" for i, p in enumerate(PHRASES))},
+  {", ".join(f"{_template_met(t)[0]} AS t{i}, {_template_met(t)[1]} AS s{i}" for i, (t, _) in enumerate(TEMPLATES))} FROM w),
+b AS (SELECT *, {" || ".join(f"p{i}" for i in range(len(PHRASES)))} AS places,
+  list_filter([{", ".join(f"CASE WHEN len(p{i}) > 0 THEN '{b}' END" for i, b in enumerate(PHRASES.values()))}], lambda x: x IS NOT NULL) AS base,
+  list_filter([{", ".join(f"CASE WHEN t{i} THEN '{b}' END" for i, (_, b) in enumerate(TEMPLATES))}], lambda x: x IS NOT NULL) AS met FROM p)
+SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_min(places)::BIGINT AS first_word, list_max(places)::BIGINT AS last_word,
+  coalesce(array_to_string(list_sort(list_distinct(base)), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(base || met)), ','), '') AS labels,
+  CASE WHEN len(places) > 0 THEN 1.0::DOUBLE ELSE greatest({", ".join(f"s{i}" for i in range(len(TEMPLATES)))})::DOUBLE END AS score
+FROM b
+"""
+
 OP4 = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 f AS (SELECT doc_id, {_secret_spans()} AS found FROM d)
@@ -55,6 +95,7 @@ FROM c
 """
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_license_scans": OP2,
     "op4_secret_scans": OP4,
     "op10_source_mix": OP10,
 }

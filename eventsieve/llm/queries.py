@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventsieve.session import scratch_path
 
-from . import mixing, ngram_join, pieces, quality, secrets
+from . import licenses, mixing, ngram_join, pieces, quality, secrets
 from .common import staged, table
 
 
@@ -16,6 +16,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(stats, quality.fit(stats, table(spark, sf_dir, "labels")))
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and templates of every document."""
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class, links and copies of every document."""
     found = ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
@@ -39,6 +44,7 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_license_scans": op2_license_scans,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_scans": op4_secret_scans,
     "op5_sentencepiece": op5_sentencepiece,
