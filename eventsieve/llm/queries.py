@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from eventsieve.session import scratch_path
 
-from . import licenses, mixing, ngram_join, pieces, quality, secrets
+from . import chat, language, licenses, mixing, ngram_join, pieces, quality, secrets
 from .common import staged, table
 
 
@@ -37,6 +37,19 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, and of one whose texts are control strings."""
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.digests(chat.format_turns(rows.union(extra)))
+
+
 def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from every document, with its source's target."""
     return mixing.mix(table(spark, sf_dir, "documents"))
@@ -48,5 +61,7 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_scans": op4_secret_scans,
     "op5_sentencepiece": op5_sentencepiece,
+    "op8_language_id": op8_language_id,
+    "op9_chat_formatting": op9_chat_formatting,
     "op10_source_mix": op10_source_mix,
 }
