@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from eventsieve.session import scratch_path
 
-from . import chat, language, licenses, mixing, ngram_join, pieces, quality, secrets
+from . import chat, language, licenses, mixing, multi_index, ngram_join, pieces, quality, secrets, wrappers
 from .common import staged, table
 
 
@@ -37,6 +38,16 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every 50th, over all vectors."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op7_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages"))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return language.identify(table(spark, sf_dir, "documents"))
@@ -61,6 +72,8 @@ QUERIES = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_secret_scans": op4_secret_scans,
     "op5_sentencepiece": op5_sentencepiece,
+    "op6_vector_search": op6_vector_search,
+    "op7_page_text": op7_page_text,
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_source_mix": op10_source_mix,
