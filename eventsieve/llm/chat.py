@@ -358,7 +358,9 @@ DIGEST = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "fo
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=DIGEST).astype({"conv_id": "Int64"})
+    out = pd.DataFrame([r[1:] for r in rows], columns=DIGEST[1:])
+    out.insert(0, "conv_id", pd.Series([r[0] for r in rows], dtype="Int64"))
+    return out
 
 
 def digests(formatted: DataFrame) -> DataFrame:

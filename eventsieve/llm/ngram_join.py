@@ -213,8 +213,9 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     """One row per document: doc_id, class_id (least doc_id of its class), n_links (different texts
     that reach the threshold), n_copies (rows with the identical text), and key, class_key (contents)."""
     rows = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
-    signed = rows.mapInPandas(signatures, "doc_id long, key binary, signature binary, bands array<long>")
-    signed = staged(signed, "join-signatures")
+    signed = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(  # text keeps null ids apart from numbers
+        signatures, "doc_id string, key binary, signature binary, bands array<long>")
+    signed = staged(signed.withColumn("doc_id", F.col("doc_id").cast("long")), "join-signatures")
     texts = signed.groupBy("key").agg(F.min("doc_id").alias("holder"), F.count("*").alias("n_copies"),
                                       F.first("signature").alias("signature"), F.first("bands").alias("bands"))
     texts = staged(texts, "join-texts")
