@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,7 +32,9 @@ def output_gate(spark: SparkSession, outputs: Mapping[str, tuple[str, StructType
         try:
             found = spark.read.parquet(path).schema
             schema_ok = _names_types(found) == _names_types(expected)
-        except Exception:  # absent or unreadable folder: the gate fails, it does not raise
+        except AnalysisException as e:  # absent or without files: the gate fails; other errors are raised
+            if not any(x in str(e) for x in ("PATH_NOT_FOUND", "Path does not exist", "UNABLE_TO_INFER_SCHEMA")):
+                raise
             schema_ok = False
         df = read_table(spark, path, expected)
         frames.append(

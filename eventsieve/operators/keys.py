@@ -109,15 +109,13 @@ def join_back(rows: DataFrame, keys: DataFrame, key: str, *, spread: Column | No
     return joined.select(*keep, *merged)
 
 
-def history_hits(batch_keys: DataFrame, history: DataFrame, key: str,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def history_hits(batch_keys: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Distinct batch keys (``batch_keys`` must be distinct) that occur in ``history``.
 
-    The history (the whole raw table, growing without bound) is never shuffled
-    whole or de-duplicated whole: it is semi-joined to the batch keys, which are
-    broadcast when their count is under ``broadcast_rows``; only the hits are
-    de-duplicated.
+    The history is semi-joined to the batch keys and never de-duplicated whole; only the hits
+    are. ``batch_keys`` should be a stored table: Spark then broadcasts it when its size in
+    bytes is below the broadcast threshold, and the history has no exchange. Above the threshold
+    the semi join shuffles both sides by id.
     """
     hist = history.select(F.col("event_id").alias(key)).filter(F.col(key).isNotNull())
-    small = sized_broadcast(batch_keys.select(key), broadcast_rows)
-    return hist.join(small, key, "left_semi").distinct()
+    return hist.join(batch_keys.select(key), key, "left_semi").distinct()

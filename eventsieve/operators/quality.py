@@ -15,10 +15,14 @@ from pyspark.sql import functions as F
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
-from eventsieve.operators.keys import (DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS, history_hits, join_back, join_key,
-                                      order_struct, present_key, winners)
+from eventsieve.operators.keys import HOT_KEY_ROWS, history_hits, join_back, join_key, order_struct, present_key, winners
+from eventsieve.session import stored
 
-DEFAULT_ORDER = ("arrival_ts", "seq")
+# Columns that order the rows of one id, oldest first; those that a frame lacks are left out.
+DEFAULT_ORDER = ("arrival_ts", "partition", "seq")
+FALLBACK_ORDER = ("timestamp",)
+# Stored row number that makes any order total (see ``numbered``).
+ROW_ID = "_row_id"
 
 
 def parse_events(lines: DataFrame, json_col: str = "json_string") -> DataFrame:
@@ -72,52 +76,71 @@ def rule_columns(allowed_types: Sequence[str], allowed_sources: Sequence[str], *
     ]
 
 
+def numbered(parsed: DataFrame) -> DataFrame:
+    """The frame with a stored row number. Equal order values (offsets of two partitions, a line
+    delivered twice) then still leave one newest row, the same one in every pass and retry."""
+    return stored(parsed.withColumn(ROW_ID, F.monotonically_increasing_id()), "numbered")
+
+
+def _ordered_rows(parsed: DataFrame, order_by: Sequence[str | Column], total_order: bool) -> tuple[DataFrame, DataFrame]:
+    """The parsed frame, and the same rows with ``_id``, the join key ``_jk`` and a total ``_order``."""
+    if ROW_ID not in parsed.columns and not total_order:
+        parsed = numbered(parsed)
+    has = set(parsed.columns)
+    order = [c for c in order_by if not isinstance(c, str) or c in has] or [c for c in FALLBACK_ORDER if c in has]
+    order += [ROW_ID] if ROW_ID in has else []
+    eid = _field("event_id")
+    rows = parsed.withColumn("_id", F.when(F.col("json_ok") & R.present(eid), eid))
+    return parsed, rows.withColumn("_jk", join_key("_id")).withColumn("_order", order_struct(order))
+
+
 def validate_events(parsed: DataFrame, history: DataFrame | None = None, *,
                     allowed_types: Sequence[str] = R.DEFAULT_EVENT_TYPES,
                     allowed_sources: Sequence[str] = R.DEFAULT_SOURCES,
                     order_by: Sequence[str | Column] = DEFAULT_ORDER,
                     strict_ts: bool = False, strict_payload: bool = False,
                     dedup_valid_only: bool = False,
-                    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                    total_order: bool = False,
                     hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """V1-V12 over a parsed batch; returns the input columns plus ``errors``.
 
-    * V10: a row with an id that is not the newest row of that id in the batch
-      (``order_by`` descending; it must be a total order, e.g. arrival time then
-      sequence/offset). By default invalid rows take part in the ranking (D5);
-      ``dedup_valid_only`` ranks only rows without V1-V9 errors.
+    * V10: a row with an id that is not the newest row of that id in the batch (``order_by``
+      descending, columns that the frame lacks left out). Exactly one row of an id stays:
+      ties are broken by a stored row number, which is added here unless the frame has one
+      (``numbered``) or the caller states that the order is total. By default invalid rows
+      take part in the ranking (D5); ``dedup_valid_only`` ranks only rows without V1-V9 errors.
     * V11: the id occurs in ``history`` (a frame with an ``event_id`` column, such
       as the ids of the raw table). The history is semi-joined to the batch keys,
       so a repeated id there never multiplies rows (D17).
+
+    Only ids with more than one row, or with a hit in the history, are joined back: a lone id
+    is its own newest row. These ids are stored first, so Spark knows their size in bytes and
+    broadcasts them when they are few; the rows are then not shuffled at all.
     """
     if "json_ok" not in parsed.columns:
         parsed = parse_events(parsed)
     rules9 = rule_columns(allowed_types, allowed_sources, strict_ts=strict_ts, strict_payload=strict_payload)
-    eid = _field("event_id")
-    rows = (
-        parsed.withColumn("_id", F.when(F.col("json_ok") & R.present(eid), eid))
-        .withColumn("_jk", join_key("_id"))
-        .withColumn("_order", order_struct(order_by))
-    )
+    parsed, rows = _ordered_rows(parsed, order_by, total_order)
     eligible = None
     if dedup_valid_only:
         eligible = F.size(F.array_compact(F.array(*rules9))) == 0
-    keys = winners(rows, "_jk", ["_order"], newest=True, eligible=eligible, out="_winner")
+    keys = winners(rows, "_jk", ["_order"], newest=True, eligible=eligible, out="_winner").filter("_jk.k")
     if history is not None:
-        cand = keys.select(F.col("_jk.v").alias("_hid"))
-        hits = history_hits(cand, history, "_hid", broadcast_rows)
+        keys = stored(keys, "batch-keys")
+        hits = history_hits(keys.select(F.col("_jk.v").alias("_hid")), history, "_hid")
         hits = hits.select(present_key("_hid").alias("_jk"), F.lit(True).alias("_seen"))
         keys = keys.join(hits, "_jk", "left")
     else:
         keys = keys.withColumn("_seen", F.lit(None).cast("boolean"))
+    flagged = stored(keys.filter((F.col("_n") > 1) | F.coalesce("_seen", F.lit(False))), "flagged-keys")
     # Join back; hot ids and id-less rows are spread, not sent to one task.
-    joined = join_back(rows, keys, "_jk", spread=F.col("_id").isNull(), hot_rows=hot_rows)
+    joined = join_back(rows, flagged, "_jk", spread=F.col("_id").isNull(), hot_rows=hot_rows)
     newest = F.col("_winner").isNull() | (F.col("_order") == F.col("_winner._order"))
     dup_batch = F.when(F.col("_id").isNotNull() & ~newest, F.lit(R.MSG_BATCH_DUP))
     dup_hist = F.when(F.col("json_ok") & F.coalesce(F.col("_seen"), F.lit(False)), F.lit(R.MSG_HISTORY_DUP)) \
         if history is not None else F.lit(None).cast("string")
     errors = F.array_compact(F.array(*rules9, dup_batch, dup_hist))
-    out_cols = [c for c in parsed.columns]
+    out_cols = [c for c in parsed.columns if c != ROW_ID]
     return joined.select(*[F.col(c) for c in out_cols], errors.alias("errors"))
 
 
@@ -165,15 +188,11 @@ def feed_ratio(parsed: DataFrame, *, allowed_types: Sequence[str] = R.DEFAULT_EV
     if "json_ok" not in parsed.columns:
         parsed = parse_events(parsed)
     ok = F.col("json_ok")
-    eid = _field("event_id")
-    rows = (
-        parsed.withColumn("_id", F.when(ok & R.present(eid), eid))
-        .withColumn("_jk", join_key("_id"))
-        .withColumn("_order", order_struct(order_by))
-    )
+    _, rows = _ordered_rows(parsed, order_by, total_order=False)
     firsts = winners(rows, "_jk", ["_order"], newest=False, out="_first")
+    firsts = stored(firsts.filter((F.col("_n") > 1) & F.col("_jk.k")), "repeated-keys")  # a lone id is its own first
     joined = join_back(rows, firsts, "_jk", spread=F.col("_id").isNull(), hot_rows=hot_rows)
-    first = F.col("_id").isNotNull() & (F.col("_order") == F.col("_first._order"))
+    first = F.col("_id").isNotNull() & (F.col("_first").isNull() | (F.col("_order") == F.col("_first._order")))
     etype, ets, src = _field("event_type"), _field("event_ts"), _field("source")
     good = (
         ok & first

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
-from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS
-from eventsieve.operators.quality import split_events, validate_events
+from eventsieve.operators.quality import validate_events
 
 
 def reject_key(line_col: str = "json_string"):
@@ -94,27 +93,24 @@ def recover(rejects: DataFrame, raw_ids: DataFrame | None, *,
             source_map: Mapping[str, str] = R.HEAL_SOURCE_MAP,
             default_ts: str = R.HEAL_DEFAULT_TS,
             allowed_types: Sequence[str] = R.DEFAULT_EVENT_TYPES,
-            allowed_sources: Sequence[str] = R.DEFAULT_SOURCES,
-            broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            allowed_sources: Sequence[str] = R.DEFAULT_SOURCES) -> DataFrame:
     """H7: heal, then validate again (V1-V11 against ``raw_ids``); returns clean rows in raw shape.
 
-    The line itself is kept as ``json_string`` so that the caller can record which
+    A line that was quarantined several times is healed once (identical lines share an id,
+    D11); the first step of that grouping runs before the shuffle, so a line that repeats
+    very often costs one row per task. The line itself is kept as ``json_string`` so that the caller can record which
     rejects were handled.
     """
+    rejects = rejects.dropDuplicates(["json_string"])
     healed = heal_rejects(rejects, source_map=source_map, default_ts=default_ts,
                           allowed_types=allowed_types, allowed_sources=allowed_sources)
     parsed = healed_as_parsed(healed)
     validated = validate_events(parsed, raw_ids, allowed_types=allowed_types, allowed_sources=allowed_sources,
-                                order_by=("_heal_ts", "json_string"), broadcast_rows=broadcast_rows)
+                                order_by=("_heal_ts", "json_string"), total_order=True)
     valid = validated.filter(F.size("errors") == 0)
     return valid.select("json_string", "data.*")
 
 
-def recovered_count(recovered: DataFrame) -> DataFrame:
-    """A2: number of recovered rows."""
-    return recovered.agg(F.count(F.lit(1)).alias("recovered"))
-
-
 def pending_rejects(rejects: DataFrame, handled_keys: DataFrame | None) -> DataFrame:
     """H8: rejects whose key is not in the handled ledger (``reject_key`` column).
 
@@ -136,7 +132,3 @@ def raw_after_recovery(raw: DataFrame, recovered: DataFrame) -> DataFrame:
     """The raw view after recovery: stored rows plus recovered rows, by column name."""
     return raw.select(*schemas.ENVELOPE_FIELDS).unionByName(recovered.select(*schemas.ENVELOPE_FIELDS))
 
-
-def requarantine(validated_healed: DataFrame) -> DataFrame:
-    """Rows that failed revalidation, in rejects shape (kept for inspection)."""
-    return split_events(validated_healed)[1]

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from eventsieve import schemas
 from eventsieve.functions import rules as R
 from eventsieve.operators import checks, recovery, summary
+from eventsieve.session import scratch_scope, stored
 from eventsieve.sources.readers import history_ids, read_raw, read_rejects, read_table
 from eventsieve.streaming.sinks import write_batch, write_table
 
@@ -53,12 +54,11 @@ def run_recovery(spark: SparkSession, rejects_path: str, raw_path: str, ledger_p
     handled = handled.filter(F.col("run") != F.lit(run)) if "run" in handled.columns else handled
     pending = recovery.pending_rejects(rejects, handled)
     raw_ids = history_ids(spark, raw_path, exclude={"origin": ORIGIN_RECOVERY, "ingest": run, "batch_id": "0"})
-    recovered = recovery.recover(pending, raw_ids, source_map=source_map,
-                                 allowed_types=allowed_types, allowed_sources=allowed_sources).persist()
-    try:
+    with scratch_scope(spark):
+        pending = stored(pending.select("json_string", "event_type", "source", "entity_id"), "pending")  # read by every step below
+        recovered = stored(recovery.recover(pending, raw_ids, source_map=source_map, allowed_types=allowed_types,
+                                            allowed_sources=allowed_sources), "recovered")
         n = recovered.count()
         write_batch(recovered.select(*schemas.ENVELOPE_FIELDS), raw_path, ORIGIN_RECOVERY, run, 0)
         write_table(recovery.handled_keys(recovered), f"{ledger_path}/run={run}")
-    finally:
-        recovered.unpersist()
     return n

@@ -353,4 +353,56 @@ SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL '
     "output_gate": with_(VALID) + """SELECT 'top_items' AS output, count(*) AS row_count, true AS schema_ok, count(*) > 0 AS non_empty FROM valid
 UNION ALL
 SELECT 'low_stock_alerts', count(*), true, count(*) > 0 FROM valid WHERE current_stock_level < 9""",
+    # Each line of a partition; some lines come twice, from another partition or the same one.
+    "dedup_ties": with_(PARSED) + f""", delivered AS (
+  SELECT *, 0 AS "partition" FROM parsed
+  UNION ALL SELECT *, 1 FROM parsed WHERE seq % 100 BETWEEN 20 AND 24
+  UNION ALL SELECT *, 0 FROM parsed WHERE seq % 100 = 25
+), r AS (
+  SELECT *, CASE WHEN ok AND coalesce(event_id, '') <> '' THEN
+              row_number() OVER (PARTITION BY CASE WHEN ok AND coalesce(event_id, '') <> '' THEN event_id END
+                                 ORDER BY arrival_ts DESC, "partition" DESC, seq DESC) END AS rn
+  FROM delivered
+), v AS (
+  SELECT *, concat_ws('; ', {_RULES9}, CASE WHEN rn > 1 THEN 'Duplicate event_id in batch' END) AS reasons FROM r
+)
+SELECT seq, "partition", reasons = '' AS is_valid, reasons FROM v""",
+    "recover_repeated_lines": with_(_HEALED) + f"SELECT json_string, {_FLAT} FROM rec",
+    "history_two_ingests": with_(RANKED) + f""", h AS (
+  SELECT DISTINCT 'evt-' || CAST(event_id AS VARCHAR) AS event_id FROM events WHERE event_id % 200 = 160
+), v AS (
+  SELECT r.seq, r.event_id, concat_ws('; ', {_RULES9.replace("event_id", "r.event_id").replace("Missing r.event_id", "Missing event_id")},
+    CASE WHEN rn > 1 THEN 'Duplicate event_id in batch' END,
+    CASE WHEN ok AND h.event_id IS NOT NULL THEN 'Duplicate event_id (already processed)' END) AS reasons
+  FROM ranked r LEFT JOIN h ON r.event_id = h.event_id
+)
+SELECT * FROM v WHERE contains(reasons, 'Duplicate event_id (already processed)')""",
+    "stream_two_batches": with_(PARSED) + f""", batched AS (
+  SELECT *, CASE WHEN seq <= (SELECT floor(max(seq) / 2) FROM parsed) THEN 1 ELSE 2 END AS batch FROM parsed
+), r AS (
+  SELECT *, CASE WHEN ok AND coalesce(event_id, '') <> '' THEN
+              row_number() OVER (PARTITION BY batch, CASE WHEN ok AND coalesce(event_id, '') <> '' THEN event_id END
+                                 ORDER BY arrival_ts DESC, seq DESC) END AS rn
+  FROM batched
+), v AS (
+  SELECT *, concat_ws('; ', {_RULES9}, CASE WHEN rn > 1 THEN 'Duplicate event_id in batch' END) AS reasons FROM r
+)
+SELECT {_FLAT} FROM v WHERE reasons = '' AND batch = 1
+UNION ALL
+SELECT {_FLAT} FROM v WHERE reasons = '' AND batch = 2
+  AND event_id NOT IN (SELECT event_id FROM v WHERE reasons = '' AND batch = 1)""",
+    "stream_rejects": with_(REJECTS) + "SELECT * FROM rejects",
+    "stock_ledger_reference": with_(MOVES, SKU_REF) + """SELECT * , reported_level <> expected_level AS mismatch, expected_level < 0 AS below_zero
+FROM (SELECT l.sku_id, event_id, delta, reported_level,
+        CAST(expected_level - 100 + coalesce(r.starting_stock, 100) AS INTEGER) AS expected_level
+      FROM ledger l LEFT JOIN sku_ref r ON l.sku_id = r.sku_id)""",
+    "unknown_skus_reference": with_(VALID, SKU_REF) + """SELECT sku_id, count(*) AS events FROM valid v
+WHERE sku_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sku_ref c WHERE c.sku_id = v.sku_id) GROUP BY sku_id""",
+    "catalog_csv": with_(CATALOG) + "SELECT * FROM catalog",
+    "sku_reference_file": with_(SKU_REF) + "SELECT * FROM sku_ref",
+    "jsonl_lines": with_(LINES) + "SELECT json_string FROM lines",
+    "union_mixed_files": with_(VALIDATED) + """SELECT event_id, event_type, entity_id, NULL::VARCHAR AS rejection_reason, NULL::VARCHAR AS json_string
+FROM validated WHERE reasons = ''
+UNION ALL
+SELECT event_id, NULL, NULL, reasons, json_string FROM validated WHERE reasons <> ''""",
 }

@@ -17,7 +17,7 @@ from eventsieve.operators import ledger as L
 from eventsieve.operators import quality as Q
 from eventsieve.operators import recovery as H
 from eventsieve.operators import summary as S
-from eventsieve.session import scratch_path
+from eventsieve.session import scratch_path, stored
 from eventsieve.sources import fixtures as fx
 from eventsieve.streaming import windows as W
 
@@ -28,16 +28,10 @@ HEAL = {**RULES, "source_map": fx.FIXTURE_SOURCE_REPAIR}
 
 
 # ---- shared building blocks ---------------------------------------------------------------
-def lines(spark: SparkSession, d: str) -> DataFrame:
-    """The feed as stored lines: the fixture is built once and written, as a topic dump or
-    landing folder would hold it, so every later filter on the line is a column filter."""
-    return stage(spark, fx.raw_lines(spark, d), "lines")
-
-
 def parsed(spark: SparkSession, d: str) -> DataFrame:
-    """The feed parsed once and written (line, gate, envelope), as the streaming ingest
-    persists each parsed micro-batch; validation and its join back read it twice."""
-    return stage(spark, Q.parse_events(fx.raw_lines(spark, d)), "parsed")
+    """The feed parsed once and stored (line, gate, envelope, row number), as the streaming ingest
+    stores each parsed micro-batch; validation and its join back read it twice."""
+    return Q.numbered(Q.parse_events(fx.raw_lines(spark, d)))
 
 
 def validated(spark: SparkSession, d: str, with_history: bool = False) -> DataFrame:
@@ -58,23 +52,11 @@ def rejects(spark: SparkSession, d: str) -> DataFrame:
     return split(spark, d)[1]
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table to the shared scratch folder and read it back.
-
-    Used where a query reads the same derived table several times (as the stored
-    raw and rejects tables are read by the summary and recovery jobs): the lineage is
-    cut and the upstream work runs once.
-    """
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
-
-
 def stored_split(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The raw and rejects tables as an ingest run leaves them: the validated batch is
     written once (line, envelope, errors) and both sides are read from it."""
     v = validated(spark, d).select("json_string", "data", "errors")
-    return Q.split_events(stage(spark, v, "validated"))
+    return Q.split_events(stored(v, "validated"))
 
 
 def ledger(spark: SparkSession, d: str) -> DataFrame:
@@ -88,7 +70,7 @@ def recovered(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- queries ------------------------------------------------------------------------------
 def q_parse_envelope(spark, d):
-    p = parsed(spark, d)
+    p = Q.parse_events(fx.raw_lines(spark, d))
     return p.select("seq", "json_ok", *Q.envelope_columns())
 
 
@@ -129,7 +111,7 @@ def q_event_key(spark, d):
     """F20 + F22 + S8: lines trimmed, blank lines dropped, routing key per line."""
     from eventsieve.functions.rules import event_key
 
-    trimmed = lines(spark, d).select("seq", F.trim("json_string").alias("json_string"))
+    trimmed = fx.raw_lines(spark, d).select("seq", F.trim("json_string").alias("json_string"))
     return trimmed.filter(F.col("json_string") != "").select("seq", event_key(F.col("json_string")).alias("event_key"))
 
 
@@ -209,11 +191,11 @@ def q_insights(spark, d):
 
 
 def q_hourly_histogram(spark, d):
-    return S.hourly_histogram(parsed(spark, d))
+    return S.hourly_histogram(Q.parse_events(fx.raw_lines(spark, d)))
 
 
 def q_rush_vs_offpeak(spark, d):
-    return S.rush_vs_offpeak(parsed(spark, d))
+    return S.rush_vs_offpeak(Q.parse_events(fx.raw_lines(spark, d)))
 
 
 def q_stock_ledger(spark, d):
@@ -271,7 +253,7 @@ def q_counts_by_type(spark, d):
 
 
 def q_counts_by_source(spark, d):
-    p = parsed(spark, d).filter(F.col("json_ok"))
+    p = Q.parse_events(fx.raw_lines(spark, d)).filter(F.col("json_ok"))
     return S.counts_by(p, "data.source", "source")
 
 
@@ -293,10 +275,128 @@ def q_stream_ingest(spark, d):
     cfg = IngestConfig(raw_path=f"{base}/raw", rejects_path=f"{base}/rejects", metrics_path=f"{base}/metrics",
                        ingest_name="q", **RULES)
     q = start_ingest(read_lines_stream(spark, f"{base}/in"), cfg, f"{base}/ckpt", available_now=True)
-    run_until_done(q, 1800)
+    run_until_done(q)
     return Q.flatten_raw(read_raw(spark, cfg.raw_path))
 
 
+def _ingest(spark, d, name, boundary=False):
+    """Run the feed through the streaming ingest; with ``boundary`` in two runs of one query on the
+    same checkpoint, the second one with the lines after half of the sequence."""
+    from eventsieve.sources.readers import read_lines_stream
+    from eventsieve.streaming.ingest import IngestConfig, run_until_done, start_ingest
+
+    base = scratch_path(spark, name)
+    feed = fx.raw_lines(spark, d)
+    cfg = IngestConfig(raw_path=f"{base}/raw", rejects_path=f"{base}/rejects", metrics_path=f"{base}/metrics",
+                       ingest_name="01", **RULES)
+    half = feed.agg(F.floor(F.max("seq") / 2)).first()[0] if boundary else None
+    parts = [feed.filter(F.col("seq") <= half), feed.filter(F.col("seq") > half)] if boundary else [feed]
+    for part in parts:
+        part.write.mode("append").parquet(f"{base}/in")
+        run_until_done(start_ingest(read_lines_stream(spark, f"{base}/in"), cfg, f"{base}/ckpt", available_now=True))
+    return cfg
+
+
+def q_stream_two_batches(spark, d):
+    """ST4 + ST5 + V11: two runs on one checkpoint; the second sees the first one's ids as history."""
+    from eventsieve.sources.readers import read_raw
+
+    return Q.flatten_raw(read_raw(spark, _ingest(spark, d, "stream_two_batches", True).raw_path))
+
+
+def q_stream_rejects(spark, d):
+    """K3 + ST6: the rejects side of the streaming ingest, read back."""
+    from eventsieve.sources.readers import read_rejects
+
+    return read_rejects(spark, _ingest(spark, d, "stream_rejects").rejects_path)
+
+
+def q_dedup_ties(spark, d):
+    """V10 on equal order values: lines delivered by two partitions under one offset and time, and
+    lines delivered twice. Exactly one row of an id stays."""
+    feed = fx.raw_lines(spark, d).withColumn("partition", F.lit(0))
+    kind = F.col("seq") % 100
+    again = feed.filter(kind.between(20, 24)).withColumn("partition", F.lit(1))
+    twice = feed.filter(kind == 25)
+    v = Q.validate_events(Q.parse_events(feed.unionByName(again).unionByName(twice)), **RULES)
+    return v.select("seq", "partition", Q.is_valid().alias("is_valid"), F.concat_ws("; ", "errors").alias("reasons"))
+
+
+def q_recover_repeated_lines(spark, d):
+    """Lines quarantined twice are recovered once."""
+    valid, rej = stored_split(spark, d)
+    rej = rej.unionByName(rej.filter(F.col("event_id").isNull()))
+    r = H.recover(rej, valid.select("event_id"), **HEAL)
+    return r.select("json_string", *[c for c in schemas.ENVELOPE_FIELDS if c != "payload"],
+                    *[F.col(f"payload.{c}").alias(c) for c in schemas.PAYLOAD_FIELDS])
+
+
+def q_history_two_ingests(spark, d):
+    """S5 + D6: the history leaves out the batch of ingest ``01`` and keeps that of ingest ``1``."""
+    from eventsieve.sources.readers import history_ids
+    from eventsieve.streaming.sinks import layout_filter, write_batch
+
+    path = f"{scratch_path(spark, 'two_ingests')}/raw"
+    empty = spark.createDataFrame([], schemas.RAW).drop("event_id")
+    ids = fx.history(spark, d).unionByName(empty, allowMissingColumns=True).select(*schemas.ENVELOPE_FIELDS)
+    number = F.regexp_extract("event_id", "([0-9]+)", 1).cast("long")
+    write_batch(ids.filter(number % 200 == 60), path, "stream", "01", 0)
+    write_batch(ids.filter(number % 200 == 160), path, "stream", "1", 0)
+    hist = history_ids(spark, path, exclude=layout_filter("stream", "01", 0))
+    v = Q.validate_events(parsed(spark, d), hist, **RULES)
+    flagged = v.filter(F.array_contains("errors", "Duplicate event_id (already processed)"))
+    return flagged.select("seq", F.col("data.event_id").alias("event_id"), F.concat_ws("; ", "errors").alias("reasons"))
+
+
+def q_stock_ledger_reference(spark, d):
+    """W3 with each SKU's own starting stock, and the default for SKUs without one."""
+    return L.stock_ledger(fx.stock_moves(spark, d), fx.sku_reference(spark, d)).drop("ts")
+
+
+def q_unknown_skus_reference(spark, d):
+    """J5 against the SKU reference."""
+    return S.unknown_skus(raw(spark, d), fx.sku_reference(spark, d))
+
+
+def q_catalog_csv(spark, d):
+    """The catalog written as CSV with a header and read back."""
+    from eventsieve.sources.readers import read_catalog_csv
+
+    path = scratch_path(spark, "catalog_csv")
+    fx.catalog(spark, d).write.option("header", "true").csv(path)
+    return read_catalog_csv(spark, path)
+
+
+def q_sku_reference_file(spark, d):
+    """The SKU reference written as JSON lines and read back."""
+    from eventsieve.sources.readers import read_sku_reference
+
+    path = scratch_path(spark, "sku_reference")
+    fx.sku_reference(spark, d).write.json(path)
+    return read_sku_reference(spark, path)
+
+
+def q_jsonl_lines(spark, d):
+    """The feed written as text lines and read back, trimmed, without blank lines."""
+    from eventsieve.sources.readers import read_jsonl
+
+    path = scratch_path(spark, "jsonl")
+    feed = fx.raw_lines(spark, d).select(F.concat(F.lit("  "), "json_string", F.lit(" ")).alias("value"))
+    feed.unionByName(feed.limit(1).select(F.lit("   ").alias("value"))).write.text(path)
+    return read_jsonl(spark, path)
+
+
+def q_union_mixed_files(spark, d):
+    """S9 + U1: stored files with different columns, read as one frame."""
+    from eventsieve.sources.readers import union_files
+
+    path = scratch_path(spark, "mixed")
+    valid, rej = stored_split(spark, d)
+    S.top_items(valid).write.parquet(path)
+    rej.select("event_id", "rejection_reason", "json_string").write.mode("append").parquet(path)
+    return union_files(spark, path).select("event_id", "event_type", "entity_id", "rejection_reason", "json_string")
+
+
 def q_output_gate(spark, d):
     """G1 (+K4, K5): write raw, run the daily summary, re-read and gate its outputs."""
     from eventsieve.plans.jobs import daily_summary
@@ -352,4 +452,15 @@ QUERIES: dict[str, Query] = {
     "stream_sliding_counts": q_stream_sliding_counts,
     "stream_ingest": q_stream_ingest,
     "output_gate": q_output_gate,
+    "dedup_ties": q_dedup_ties,
+    "recover_repeated_lines": q_recover_repeated_lines,
+    "history_two_ingests": q_history_two_ingests,
+    "stream_two_batches": q_stream_two_batches,
+    "stream_rejects": q_stream_rejects,
+    "stock_ledger_reference": q_stock_ledger_reference,
+    "unknown_skus_reference": q_unknown_skus_reference,
+    "catalog_csv": q_catalog_csv,
+    "sku_reference_file": q_sku_reference_file,
+    "jsonl_lines": q_jsonl_lines,
+    "union_mixed_files": q_union_mixed_files,
 }

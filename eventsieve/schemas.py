@@ -8,7 +8,6 @@ nullable fields at every level, so the rules test nulls explicitly.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType,
     DoubleType,
     IntegerType,
     LongType,
@@ -19,6 +18,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+# --- Fixed values: the wire format of an event ---
 PAYLOAD = StructType(
     [
         StructField("sku_id", StringType(), False),
@@ -84,8 +84,6 @@ SKU_REFERENCE = StructType(
     ]
 )
 
-HISTORY = StructType([StructField("event_id", StringType(), True)])
-
 TOP_ITEMS = StructType(
     [
         StructField("event_id", StringType(), True),
@@ -116,6 +114,5 @@ METRICS = StructType(
         StructField("total_records", LongType(), True),
         StructField("valid_records", LongType(), True),
         StructField("rejected_records", LongType(), True),
-        StructField("retried", BooleanType(), True),
     ]
 )

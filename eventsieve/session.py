@@ -8,11 +8,12 @@ without that setting (tests, bench) gets a private temp folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins at run time (broadcast when the
 # measured side is small, split skewed partitions, coalesce small ones).
@@ -58,15 +59,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared scratch root (never reused between runs)."""
     root = ensure_checkpoint_dir(spark)
-    return f"{root}/eventsieve/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/eventsieve/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the scratch folders made inside it. For jobs that write their results
+    before they return; a frame that is still lazy must not outlive the scope."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table to a fresh scratch folder and read it back.
 
-def local_exists(path: str) -> bool:
-    return os.path.exists(path.removeprefix("file:"))
+    The lineage is cut, the upstream work runs once, and Spark plans what follows with the
+    table's size in bytes (a broadcast is chosen only below its byte threshold).
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

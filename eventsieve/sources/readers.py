@@ -13,12 +13,14 @@ from collections.abc import Iterable, Mapping
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from eventsieve import schemas
 
 # Partition columns of the idempotent raw/rejects layout (see streaming.sinks).
-LAYOUT_COLUMNS = ("origin", "ingest", "batch_id")
+# Their types are declared: inferred ones would read the ingest names ``01`` and ``1`` as one number.
+LAYOUT = [StructField("origin", StringType()), StructField("ingest", StringType()), StructField("batch_id", LongType())]
+LAYOUT_COLUMNS = tuple(f.name for f in LAYOUT)
 
 
 def _empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -36,23 +38,37 @@ def read_table(spark: SparkSession, path: str, schema: StructType, *, keep_layou
 
     ``keep_layout`` keeps the partition columns ``origin/ingest/batch_id`` (used to
     exclude the batch being written from the history scan). ``ignore_corrupt`` skips
-    unreadable files instead of failing the job.
+    unreadable files instead of failing the job; ``skipped_files`` lists them.
     """
     reader = spark.read.option("recursiveFileLookup", "false")
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")
     try:
-        df = reader.schema(schema).parquet(path)
+        df = reader.schema(StructType(schema.fields + LAYOUT) if keep_layout else schema).parquet(path)
         cols = set(df.columns)
     except AnalysisException as e:
         if _not_found(e):
-            return _empty(spark, schema)
+            return _empty(spark, StructType(schema.fields + LAYOUT) if keep_layout else schema)
         raise
     if keep_layout:
         return df
     return df.select(*[c for c in schema.fieldNames() if c in cols])
 
 
+def union_files(spark: SparkSession, path: str) -> DataFrame:
+    """All Parquet files under ``path`` as one frame with the union of their columns;
+    unreadable files are skipped (``skipped_files`` lists them)."""
+    return spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "true").parquet(path)
+
+
+def skipped_files(spark: SparkSession, path: str) -> DataFrame:
+    """``file`` of every Parquet file under ``path`` that gave no rows to ``union_files``,
+    because it can't be read or is empty. A log of what a fault-tolerant scan left out."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path)
+    read = union_files(spark, path).select(F.col("_metadata.file_name").alias("file")).distinct()
+    return listed.select(F.element_at(F.split("path", "/"), -1).alias("file")).join(read, "file", "left_anti")
+
+
 def read_raw(spark: SparkSession, path: str, **kw) -> DataFrame:
     return read_table(spark, path, schemas.RAW, **kw)
 
@@ -72,7 +88,7 @@ def history_ids(spark: SparkSession, raw_path: str, exclude: Mapping[str, str] |
     if exclude and all(c in df.columns for c in exclude):
         cond = None
         for c, v in exclude.items():
-            term = F.col(c) != F.lit(str(v))
+            term = F.col(c) != F.lit(int(v) if c == "batch_id" else str(v))
             cond = term if cond is None else (cond | term)
         df = df.filter(cond)
     return df.select("event_id")

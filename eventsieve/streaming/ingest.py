@@ -2,7 +2,8 @@
 
 Per micro-batch:
 
-1. parse once and ``persist`` (the batch is read from the source once, not once per action);
+1. parse once and store with row numbers (the batch is read from the source once, and ties
+   between rows are broken the same way in every pass);
 2. empty batch → metrics row only (ST7);
 3. history = ids of raw **except this batch's own folder** (a retry sees the same
    history as the first attempt, D6); the history is semi-joined to the batch keys;
@@ -28,8 +29,9 @@ from pyspark.sql.streaming import StreamingQueryListener
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
-from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS
-from eventsieve.operators.quality import batch_counts, parse_events, split_events, validate_events
+from eventsieve.operators.keys import HOT_KEY_ROWS
+from eventsieve.operators.quality import DEFAULT_ORDER, batch_counts, numbered, parse_events, split_events, validate_events
+from eventsieve.session import scratch_scope
 from eventsieve.sources.readers import history_ids
 from eventsieve.streaming.sinks import batch_folder, layout_filter, write_batch
 
@@ -44,9 +46,8 @@ class IngestConfig:
     ingest_name: str
     allowed_types: Sequence[str] = R.DEFAULT_EVENT_TYPES
     allowed_sources: Sequence[str] = R.DEFAULT_SOURCES
-    order_by: Sequence[str] = ("arrival_ts", "seq")
+    order_by: Sequence[str] = DEFAULT_ORDER
     files_per_batch: int | None = None
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     hot_rows: int = HOT_KEY_ROWS
     source_name: str = "lines"
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
@@ -55,15 +56,15 @@ class IngestConfig:
 def process_batch(spark: SparkSession, cfg: IngestConfig, batch: DataFrame, batch_id: int) -> dict:
     """One micro-batch; returns the metrics row as a dict (also written to the metrics table)."""
     start = _dt.datetime.now(_dt.timezone.utc)
-    parsed = parse_events(batch).persist()
-    try:
+    with scratch_scope(spark):
+        parsed = numbered(parse_events(batch))
         if parsed.isEmpty():
             counts = {"total_records": 0, "valid_records": 0, "rejected_records": 0}
         else:
             hist = history_ids(spark, cfg.raw_path, exclude=layout_filter(ORIGIN_STREAM, cfg.ingest_name, batch_id))
             validated = validate_events(
                 parsed, hist, allowed_types=cfg.allowed_types, allowed_sources=cfg.allowed_sources,
-                order_by=cfg.order_by, broadcast_rows=cfg.broadcast_rows, hot_rows=cfg.hot_rows,
+                order_by=cfg.order_by, hot_rows=cfg.hot_rows,
             ).persist()
             try:
                 counts = batch_counts(validated).first().asDict()
@@ -72,13 +73,11 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: DataFrame, batc
                 write_batch(rejects, cfg.rejects_path, ORIGIN_STREAM, cfg.ingest_name, batch_id, cfg.files_per_batch)
             finally:
                 validated.unpersist()
-    finally:
-        parsed.unpersist()
     end = _dt.datetime.now(_dt.timezone.utc)
     row = {
         "run_id": cfg.run_id, "batch_id": int(batch_id), "start_ts": start, "end_ts": end,
         "source": cfg.source_name, "raw_path": cfg.raw_path, "rejects_path": cfg.rejects_path,
-        **{k: int(v) for k, v in counts.items()}, "retried": False,
+        **{k: int(v) for k, v in counts.items()},
     }
     metrics = spark.createDataFrame([row], schemas.METRICS)
     metrics.write.mode("overwrite").parquet(batch_folder(cfg.metrics_path, ORIGIN_STREAM, cfg.ingest_name, batch_id))
@@ -107,8 +106,15 @@ def start_ingest(lines: DataFrame, cfg: IngestConfig, checkpoint: str, *,
 
 
 def run_until_done(query, timeout_s: float | None = None) -> None:
-    """ST9: block until the query ends (bounded runs) and surface its failure."""
-    query.awaitTermination(timeout_s)
+    """ST9: block until the query ends (bounded runs) and surface its failure.
+
+    A query that is still active after ``timeout_s`` is stopped and ``TimeoutError`` raised: its
+    tables are incomplete. What it has committed stays, and a later run goes on from there."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"the streaming query did not end within {timeout_s} s; its output is incomplete")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 

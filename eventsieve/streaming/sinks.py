@@ -40,13 +40,15 @@ def write_table(df: DataFrame, path: str, files: int | None = None) -> str:
 # Commit settings (K9). The v1 committer stays (v2 is not atomic when a task fails
 # half-way); success markers stay on so readers can tell a finished folder.
 COMMIT_CONF = {
-    "spark.hadoop.mapreduce.fileoutputcommitter.algorithm.version": "1",
-    "spark.hadoop.mapreduce.fileoutputcommitter.marksuccessfuljobs": "true",
+    "mapreduce.fileoutputcommitter.algorithm.version": "1",
+    "mapreduce.fileoutputcommitter.marksuccessfuljobs": "true",
 }
 
 
-def apply_commit_conf(spark) -> dict[str, str]:
-    """K9: set the commit settings on the session (SQL writes read them into their Hadoop conf)."""
-    for k, v in COMMIT_CONF.items():
+def apply_commit_conf(spark, conf: dict[str, str] = COMMIT_CONF) -> dict[str, str]:
+    """K9: set the commit settings on the session. Writes copy session settings into their
+    Hadoop settings as they are, so the names go without the ``spark.hadoop.`` prefix (which
+    only counts when a session is built)."""
+    for k, v in conf.items():
         spark.conf.set(k, v)
-    return {k: spark.conf.get(k) for k in COMMIT_CONF}
+    return {k: spark.conf.get(k) for k in conf}
