@@ -22,6 +22,9 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 # A key with more rows than this is "hot": its rows are not sent to one shuffle
 # partition. The hot-key table has at most (rows / HOT_KEY_ROWS) entries.
 HOT_KEY_ROWS = 1_000_000
+# Entries of a hot-key table at most, whatever the number of rows: above HOT_KEY_ROWS * HOT_KEYS
+# rows, a key counts as hot from a HOT_KEYS-th of all rows on.
+HOT_KEYS = 100_000
 
 
 def join_key(col: str | Column) -> Column:
@@ -80,8 +83,8 @@ def join_back(rows: DataFrame, keys: DataFrame, key: str, *, spread: Column | No
               hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Left join per-key results (one row per key, with ``_n``) back to the rows, skew-safe.
 
-    Keys with more than ``hot_rows`` rows are split off: their results (at most
-    rows / hot_rows entries, a proven bound) are broadcast and joined map-side. Those
+    Keys with more than ``hot_rows`` rows, and more than a HOT_KEYS-th of all of them, are split
+    off: their results (fewer than HOT_KEYS entries) are broadcast and joined map-side. Those
     rows, and rows for which ``spread`` is true (e.g. rows without an id, whose key
     carries no result), are sent through the shuffle join under a per-row key that
     matches nothing, so they spread evenly over all partitions instead of landing
@@ -92,7 +95,8 @@ def join_back(rows: DataFrame, keys: DataFrame, key: str, *, spread: Column | No
     the rows need an ``_order`` column that is unique per row (the spread key).
     """
     info = [c for c in keys.columns if c not in (key, "_n")]
-    hot = keys.filter(F.col("_n") > F.lit(hot_rows)).select(
+    share = F.floor(keys.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar() / HOT_KEYS)
+    hot = keys.filter(F.col("_n") > F.greatest(F.lit(hot_rows).cast("long"), share)).select(
         key, *[F.col(c).alias(f"_hot{c}") for c in info], F.lit(True).alias("_hot")
     )
     tagged = rows.join(F.broadcast(hot), key, "left")

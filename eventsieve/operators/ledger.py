@@ -5,7 +5,8 @@ The running stock of a SKU is a prefix sum in time order. A plain
 task; one SKU may hold a third of all rows. ``running_sum`` therefore splits
 each key's time line into fixed time chunks:
 
-1. chunk totals: ``groupBy(key, chunk).sum`` (partial aggregation, tiny output);
+1. hot chunks are cut into slices by time and tie-breaker, after one count per chunk;
+   chunk totals: ``groupBy(key, chunk).sum`` (partial aggregation, tiny output);
 2. chunk offsets: prefix sum of the totals per key (one row per chunk, so even a
    hot key has only ``span / chunk`` rows here);
 3. rows join their chunk offset on ``(key, chunk)`` and add a window sum
@@ -19,59 +20,83 @@ that leaves the level under the trigger level) is later than its last restock.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventsieve.functions.rules import DEFAULT_STARTING_STOCK, RESTOCK_TRIGGER_LEVEL
-from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS, sized_broadcast
+from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS, HOT_KEYS, sized_broadcast
+from eventsieve.session import stored
 
 DEFAULT_CHUNK_SECONDS = 3600
+# How often a group that is still hot is cut again.
+SLICE_LEVELS = 3
+
+
+def _hot_groups(rows: DataFrame, hot_rows: int, name: str) -> DataFrame:
+    """Groups of more than ``hot_rows`` rows, and more than a HOT_KEYS-th of all rows in such
+    groups (so there are fewer than HOT_KEYS), with their row count and ranges of time and tie."""
+    groups = rows.groupBy("_group").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_us0"), F.max("_us").alias("_us1"),
+        F.min("_tie").alias("_tie0"), F.max("_tie").alias("_tie1"))
+    groups = stored(groups.filter(F.col("_n") > hot_rows), name)
+    share = F.floor(groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar() / HOT_KEYS)
+    return groups.filter(F.col("_n") > share)
+
+
+def _sliced(rows: DataFrame, groups: DataFrame, hot_rows: int) -> DataFrame:
+    """Cuts the rows of the given groups into slices: by time (``_us``) or, where all rows have one
+    time, by ``_tie``. Slices are contiguous in (time, tie), so the order of a sum is kept."""
+    rows = rows.join(F.broadcast(groups), "_group", "left")
+
+    def part(value: str, low: str, high: str) -> Column:
+        pieces = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("double")
+        return F.floor((F.col(value) - F.col(low)) / (F.col(high) - F.col(low) + 1).cast("double") * pieces).cast("long")
+
+    by = F.when(F.col("_us1") > F.col("_us0"), part("_us", "_us0", "_us1")).otherwise(part("_tie", "_tie0", "_tie1"))
+    path = F.concat("_group.p", F.array(F.coalesce(by, F.lit(0).cast("long"))))
+    rows = rows.withColumn("_group", F.struct(F.col("_group.k").alias("k"), path.alias("p")))
+    return rows.drop("_n", "_us0", "_us1", "_tie0", "_tie1")
 
 
 def running_sum(df: DataFrame, key: str, ts: str, tie: str, value: str, out: str,
                 chunk_seconds: int = DEFAULT_CHUNK_SECONDS, hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Inclusive running sum of ``value`` per ``key`` ordered by ``(ts, tie)``.
-
-    Rows fall into time chunks of ``chunk_seconds``. A chunk of one key with more than
-    ``hot_rows`` rows is cut into ``ceil(rows / hot_rows)`` equal time slices (the table
-    of such chunks has at most rows / hot_rows entries and is broadcast), so no single
-    task holds a hot key's busy hour. Slices are contiguous in time, so the order of the
-    sum is kept.
-
-    The join with the chunk offsets and the final window both use ``_kc =
-    struct(key, chunk)``: a struct is never null (so rows without a key or a time
-    still meet their offsets) and one hash partitioning serves both, so the rows are
-    shuffled once.
+    """Inclusive running sum of ``value`` per ``key`` ordered by ``(ts, tie)``, nulls first.
+
+    Rows fall into time chunks of ``chunk_seconds`` (rows without a time form a chunk of their
+    own). A chunk of one key with more than ``hot_rows`` rows is cut into slices, and what is still
+    hot is cut again up to SLICE_LEVELS times: by time down to microseconds, and rows of one time by
+    ``tie`` where it is a number. So neither a busy hour nor a burst within one microsecond
+    lands in one task (rows of one microsecond with a ``tie`` that isn't a number stay together).
+
+    The join with the offsets and the final window both use ``_group = struct(key, path)``: a
+    struct is never null (so rows without a key or a time still meet their offsets) and one hash
+    partitioning serves both, so the rows are shuffled once.
     """
-    secs = F.unix_seconds(F.col(ts).cast("timestamp"))
-    coarse = F.floor(secs / F.lit(chunk_seconds))
-    rows = df.withColumn("_c", coarse).withColumn("_kc0", F.struct(F.col(key).alias("k"), F.col("_c").alias("c")))
-    hot = (
-        rows.groupBy("_kc0").agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > F.lit(hot_rows))
-        .select("_kc0", F.least(F.ceil(F.col("_n") / F.lit(hot_rows)), F.lit(chunk_seconds)).alias("_f"))
-    )
-    rows = rows.join(F.broadcast(hot), "_kc0", "left")
-    offset_in_chunk = secs - F.col("_c") * F.lit(chunk_seconds)
-    sub = F.coalesce(F.floor(offset_in_chunk * F.col("_f") / F.lit(chunk_seconds)), F.lit(0))
-    rows = rows.withColumn("_chunk", F.struct(F.col("_c").alias("c"), sub.alias("s"))).drop("_c", "_kc0", "_f")
-    rows = rows.withColumn("_kc", F.struct(F.col(key).alias("k"), F.col("_chunk").alias("c")))
-    totals = rows.groupBy(key, "_chunk").agg(F.sum(value).alias("_chunk_sum"))
-    before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.struct(F.col(key).alias("k"), F.col("_chunk").alias("c")).alias("_kc"),
-        F.coalesce(F.sum("_chunk_sum").over(before), F.lit(0)).alias("_offset"),
-    )
-    within = Window.partitionBy("_kc").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = rows.join(offsets, "_kc", "left")
+    us = F.unix_micros(F.col(ts).cast("timestamp"))
+    number = dict(df.dtypes)[tie] in ("bigint", "int", "smallint", "tinyint")
+    chunk = F.coalesce(F.floor(us / F.lit(chunk_seconds * 1_000_000)), F.lit(-(2**62)))
+    rows = df.withColumn("_us", F.coalesce(us, F.lit(0))).withColumn(
+        "_tie", F.coalesce(F.col(tie).cast("long"), F.lit(-(2**53))) if number else F.lit(0).cast("long"))
+    rows = rows.withColumn("_group", F.struct(F.col(key).alias("k"), F.array(chunk).alias("p")))
+    for level in range(SLICE_LEVELS):
+        hot = _hot_groups(rows, hot_rows, f"ledger-hot-{level}")
+        if hot.isEmpty():
+            break
+        rows = _sliced(rows, hot, hot_rows)
+    totals = rows.groupBy("_group").agg(F.sum(value).alias("_sum"))
+    before = Window.partitionBy("_group.k").orderBy("_group.p").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_group", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    within = Window.partitionBy("_group").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    joined = rows.join(offsets, "_group", "left")
     return joined.withColumn(out, (F.coalesce(F.col("_offset"), F.lit(0)) + F.sum(value).over(within)).cast("long")) \
-        .drop("_chunk", "_offset", "_kc")
+        .drop("_us", "_tie", "_offset", "_group")
 
 
 def stock_ledger(moves: DataFrame, starting: DataFrame | None = None, *,
                  default_start: int = DEFAULT_STARTING_STOCK,
                  chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
-                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                 broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                 hot_rows: int = HOT_KEY_ROWS) -> DataFrame:
     """Expected level = starting stock + running sum of deltas; compare with the reported level.
 
     ``moves``: ``(sku_id, ts, event_id, delta, level)``. ``starting``: optional
@@ -85,7 +110,7 @@ def stock_ledger(moves: DataFrame, starting: DataFrame | None = None, *,
     else:
         start = F.lit(default_start)
     rows = rows.withColumn("_start", start)
-    run = running_sum(rows, "sku_id", "ts", "event_id", "delta", "_run", chunk_seconds)
+    run = running_sum(rows, "sku_id", "ts", "event_id", "delta", "_run", chunk_seconds, hot_rows)
     expected = (F.col("_start") + F.col("_run")).cast("int")
     return run.select(
         "sku_id", "ts", "event_id", "delta",

@@ -20,6 +20,10 @@ from eventsieve.functions import rules as R
 from eventsieve.operators.quality import validate_events
 
 
+# Outcomes of a quarantined line in the recovery ledger.
+RECOVERED, KEPT = "recovered", "kept"
+
+
 def reject_key(line_col: str = "json_string"):
     """Identity of a quarantined line (two identical lines are one reject)."""
     return F.md5(F.col(line_col))
@@ -111,18 +115,32 @@ def recover(rejects: DataFrame, raw_ids: DataFrame | None, *,
     return valid.select("json_string", "data.*")
 
 
-def pending_rejects(rejects: DataFrame, handled_keys: DataFrame | None) -> DataFrame:
+def pending_rejects(rejects: DataFrame, handled_keys: DataFrame | None, rule_version: str | None = None) -> DataFrame:
     """H8: rejects whose key is not in the handled ledger (``reject_key`` column).
 
+    With ``rule_version``, ledger rows of lines that were kept in quarantine (``outcome`` other
+    than ``recovered``) count only for that version of the rules: such a line is healed again when
+    the rules change, and not on every run.
+
     The ledger side is not de-duplicated: an anti join does not need it, and with two
     plain shuffles AQE can split a hot key (many identical quarantined lines).
     """
     if handled_keys is None:
         return rejects
+    if rule_version is not None:
+        handled_keys = handled_keys.filter((F.col("outcome") == RECOVERED) | (F.col("rule_version") == rule_version))
     keyed = rejects.withColumn("reject_key", reject_key())
     return keyed.join(handled_keys.select("reject_key"), "reject_key", "left_anti").drop("reject_key")
 
 
+def processed_keys(pending: DataFrame, recovered: DataFrame, rule_version: str) -> DataFrame:
+    """H8: one ledger row per pending line: recovered, or kept in quarantine under these rules."""
+    done = handled_keys(recovered).distinct().withColumn("_done", F.lit(True))
+    keys = pending.select(reject_key().alias("reject_key")).distinct().join(done, "reject_key", "left")
+    outcome = F.when(F.col("_done"), F.lit(RECOVERED)).otherwise(F.lit(KEPT))
+    return keys.select("reject_key", outcome.alias("outcome"), F.lit(rule_version).alias("rule_version"))
+
+
 def handled_keys(recovered: DataFrame) -> DataFrame:
     """Ledger rows for recovered lines (one per recovered row; repeats are harmless)."""
     return recovered.select(reject_key().alias("reject_key"))

@@ -257,16 +257,23 @@ def insights(raw: DataFrame, alerts: DataFrame, rejects: DataFrame, catalog: Dat
              threshold: int = R.LOW_STOCK_THRESHOLD) -> DataFrame:
     """one message row per insight, each text built from an aggregate.
 
-    Messages are rows (``kind, message``) unioned from tiny aggregates, so nothing is
+    Without curated low-stock events, the items whose latest state is low are counted instead;
+    without either, one row says that nothing is low. Messages are rows (``kind, message``) unioned from tiny aggregates, so nothing is
     collected and no one-row frames are cross-joined.
     """
     q = rejects.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 0).select(
         F.lit("quarantine").alias("kind"),
         F.format_string("%d event(s) quarantined, pending recovery", F.col("n")).alias("message"),
     )
-    low = alerts.agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 0).select(
+    latest = low_stock_skus(latest_state(raw), catalog, threshold)
+    counts = alerts.agg(F.count(F.lit(1)).alias("n")).select(F.lit(1).alias("k"), "n").unionByName(
+        latest.agg(F.count(F.lit(1)).alias("n")).select(F.lit(2).alias("k"), "n"))
+    n = counts.agg(F.max(F.when(F.col("k") == 1, F.col("n"))).alias("events"), F.max(F.when(F.col("k") == 2, F.col("n"))).alias("items"))
+    low = n.select(
         F.lit("low_stock").alias("kind"),
-        F.format_string("%d low-stock event(s) below the threshold of %d", F.col("n"), F.lit(threshold)).alias("message"),
+        F.when(F.col("events") > 0, F.format_string("%d low-stock event(s) below the threshold of %d", F.col("events"), F.lit(threshold)))
+        .when(F.col("items") > 0, F.format_string("%d item(s) below the threshold of %d in their latest state", F.col("items"), F.lit(threshold)))
+        .otherwise(F.lit("No immediate low-stock risk detected")).alias("message"),
     )
     typ = most_common(raw.filter(F.col("event_type").isNotNull()), "event_type").select(
         F.lit("top_event_type").alias("kind"),

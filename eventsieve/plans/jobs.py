@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
@@ -20,7 +20,13 @@ from eventsieve.session import scratch_scope, stored
 from eventsieve.sources.readers import history_ids, read_raw, read_rejects, read_table
 from eventsieve.streaming.sinks import write_batch, write_table
 
-LEDGER = StructType([StructField("reject_key", StringType(), True), StructField("run", StringType(), True)])
+LEDGER = StructType([StructField(c, StringType(), True) for c in ("reject_key", "outcome", "rule_version", "run")])
+# Changes whenever a rule or a repair changes: lines kept in quarantine are then tried again.
+RULE_VERSION = "1"
+COUNTS = StructType([StructField("kind", StringType()), StructField("label", StringType()), StructField("events", LongType())])
+KPIS = StructType([StructField(c, LongType()) for c in ("total_transactions", "active_skus", "low_stock_events", "quarantined_events")])
+CATEGORIES = StructType([StructField("category", StringType()), StructField("transactions", LongType())])
+INSIGHTS = StructType([StructField("kind", StringType()), StructField("message", StringType())])
 ORIGIN_RECOVERY = "recovery"
 
 
@@ -38,21 +44,49 @@ def daily_summary(spark: SparkSession, raw_path: str, curated_path: str,
     })
 
 
+def curated_tables(spark: SparkSession, raw_path: str, rejects_path: str, catalog: DataFrame, curated_path: str,
+                   threshold: int = R.LOW_STOCK_THRESHOLD, files: int | None = None) -> DataFrame:
+    """A3-A9, A13-A15, F25 as tables: counts by type, source and hour, KPIs, top categories and
+    insights, written under ``curated_path`` and gated. The run is recorded in ``runs`` (G3)."""
+    raw, rejects = read_raw(spark, raw_path), read_rejects(spark, rejects_path)
+    alerts = summary.low_stock_alerts(raw, threshold)
+    hours = summary.counts_per_window(raw, "1 hour")
+    counts = (
+        summary.counts_by(raw, "event_type", "label").select(F.lit("type").alias("kind"), "label", "events")
+        .unionByName(summary.counts_by(raw, "source", "label").select(F.lit("source").alias("kind"), "label", "events"))
+        .unionByName(hours.select(F.lit("hour").alias("kind"), F.col("window_start").alias("label"), "events"))
+    )
+    tables = {
+        "counts": (counts, COUNTS),
+        "kpis": (summary.kpis(raw, alerts, rejects), KPIS),
+        "categories": (summary.top_categories(raw, catalog), CATEGORIES),
+        "insights": (summary.insights(raw, alerts, rejects, catalog, threshold), INSIGHTS),
+    }
+    for name, (df, _) in tables.items():
+        write_table(df, f"{curated_path}/{name}", files)
+    gate = checks.output_gate(spark, {n: (f"{curated_path}/{n}", schema) for n, (_, schema) in tables.items()})
+    checks.run_record(spark, "curated", **{r["output"]: r["row_count"] for r in gate.collect()}).write.mode("append").json(f"{curated_path}/runs")
+    return gate
+
+
 def run_recovery(spark: SparkSession, rejects_path: str, raw_path: str, ledger_path: str, run: str, *,
                  source_map: Mapping[str, str] = R.HEAL_SOURCE_MAP,
                  allowed_types: Sequence[str] = R.DEFAULT_EVENT_TYPES,
-                 allowed_sources: Sequence[str] = R.DEFAULT_SOURCES) -> int:
+                 allowed_sources: Sequence[str] = R.DEFAULT_SOURCES,
+                 rule_version: str = RULE_VERSION) -> int:
     """H1-H8: heal pending rejects, revalidate against raw, append clean rows, record them as handled.
 
-    Rerunning a run name overwrites its own folders; a later run finds no pending
-    reject that was already recovered (ledger), and even without the ledger the
+    Every processed line goes to the ledger with its outcome and rule version, so a line that
+    can't be recovered is not healed again until the rules change. Rerunning a run name
+    overwrites its own folders; a later run finds no pending reject that was already
+    processed (ledger), and even without the ledger the
     recovered ids are in raw, so revalidation rejects them (D11).
     """
     rejects = read_rejects(spark, rejects_path)
     handled = read_table(spark, ledger_path, LEDGER)
     # The rows this run wrote before a retry are excluded from its own history and ledger.
     handled = handled.filter(F.col("run") != F.lit(run)) if "run" in handled.columns else handled
-    pending = recovery.pending_rejects(rejects, handled)
+    pending = recovery.pending_rejects(rejects, handled, rule_version)
     raw_ids = history_ids(spark, raw_path, exclude={"origin": ORIGIN_RECOVERY, "ingest": run, "batch_id": "0"})
     with scratch_scope(spark):
         pending = stored(pending.select("json_string", "event_type", "source", "entity_id"), "pending")  # read by every step below
@@ -60,5 +94,5 @@ def run_recovery(spark: SparkSession, rejects_path: str, raw_path: str, ledger_p
                                             allowed_sources=allowed_sources), "recovered")
         n = recovered.count()
         write_batch(recovered.select(*schemas.ENVELOPE_FIELDS), raw_path, ORIGIN_RECOVERY, run, 0)
-        write_table(recovery.handled_keys(recovered), f"{ledger_path}/run={run}")
+        write_table(recovery.processed_keys(pending, recovered, rule_version), f"{ledger_path}/run={run}")
     return n

@@ -405,4 +405,29 @@ WHERE sku_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM sku_ref c WHERE c.sku_id
 FROM validated WHERE reasons = ''
 UNION ALL
 SELECT event_id, NULL, NULL, reasons, json_string FROM validated WHERE reasons <> ''""",
+    "recover_second_run": with_(_HEALED) + """SELECT DISTINCT md5(r.json_string) AS reject_key,
+  CASE WHEN EXISTS (SELECT 1 FROM rec WHERE md5(rec.json_string) = md5(r.json_string)) THEN 'recovered' ELSE 'kept' END AS outcome,
+  '1' AS rule_version, 'r1' AS run
+FROM rejects r""",
+    "curated_counts": with_(VALID) + """, t AS (SELECT time_bucket(INTERVAL '1 hour', try_strptime(event_ts, '%Y-%m-%dT%H:%M:%SZ')) AS b
+  FROM valid WHERE try_strptime(event_ts, '%Y-%m-%dT%H:%M:%SZ') IS NOT NULL)
+SELECT 'type' AS kind, event_type AS label, count(*) AS events FROM valid GROUP BY event_type
+UNION ALL SELECT 'source', source, count(*) FROM valid GROUP BY source
+UNION ALL SELECT 'hour', strftime(b, '%Y-%m-%d %H:%M:%S'), count(*) FROM t GROUP BY b""",
+    "curated_kpis": with_(VALIDATED) + """SELECT count(*) FILTER (WHERE reasons = '') AS total_transactions,
+  count(DISTINCT CASE WHEN reasons = '' THEN entity_id END) AS active_skus,
+  count(*) FILTER (WHERE reasons = '' AND current_stock_level < 9) AS low_stock_events,
+  count(*) FILTER (WHERE reasons <> '') AS quarantined_events
+FROM validated""",
+    "insights_fallback": with_(VALIDATED, CATALOG) + """, v AS (SELECT * FROM validated WHERE reasons = '')
+SELECT 'quarantine' AS kind, printf('%d event(s) quarantined, pending recovery', n) AS message
+FROM (SELECT count(*) AS n FROM validated WHERE reasons <> '') WHERE n > 0
+UNION ALL SELECT 'low_stock', 'No immediate low-stock risk detected'
+UNION ALL
+SELECT 'top_event_type', printf('Most common event type: %s', event_type)
+FROM (SELECT event_type, count(*) AS events FROM v WHERE event_type IS NOT NULL GROUP BY 1 ORDER BY events DESC, event_type LIMIT 1)
+UNION ALL
+SELECT 'top_sku', printf('Top active SKU: %s (%s)', coalesce(c.product_name, t.entity_id), t.entity_id)
+FROM (SELECT entity_id, count(*) AS events FROM v WHERE entity_id IS NOT NULL GROUP BY 1 ORDER BY events DESC, entity_id LIMIT 1) t
+LEFT JOIN catalog c ON t.entity_id = c.sku_id""",
 }

@@ -407,6 +407,51 @@ def q_output_gate(spark, d):
     return daily_summary(spark, f"{base}/raw", f"{base}/curated")
 
 
+def _tables(spark, d, name):
+    """The raw and rejects tables as an ingest leaves them, as folders."""
+    from eventsieve.streaming.sinks import write_batch
+
+    base = scratch_path(spark, name)
+    valid, rej = stored_split(spark, d)
+    write_batch(valid, f"{base}/raw", "stream", "q", 0)
+    write_batch(rej, f"{base}/rejects", "stream", "q", 0)
+    return base
+
+
+def q_recover_second_run(spark, d):
+    """H8: two recovery runs; the ledger holds every quarantined line once, with its outcome."""
+    from eventsieve.plans.jobs import LEDGER, run_recovery
+    from eventsieve.sources.readers import read_table
+
+    base = _tables(spark, d, "recover_second_run")
+    for run in ("r1", "r2"):
+        run_recovery(spark, f"{base}/rejects", f"{base}/raw", f"{base}/ledger", run, **HEAL)
+    return read_table(spark, f"{base}/ledger", LEDGER).select("reject_key", "outcome", "rule_version", "run")
+
+
+def _curated(spark, d, name, threshold=9):
+    from eventsieve.plans.jobs import curated_tables
+
+    base = _tables(spark, d, "curated")
+    curated_tables(spark, f"{base}/raw", f"{base}/rejects", fx.catalog(spark, d), f"{base}/curated", threshold)
+    return spark.read.parquet(f"{base}/curated/{name}")
+
+
+def q_curated_counts(spark, d):
+    """A13-A15 as a stored table of the summary job."""
+    return _curated(spark, d, "counts")
+
+
+def q_curated_kpis(spark, d):
+    """A3 + A4 as a stored table of the summary job."""
+    return _curated(spark, d, "kpis")
+
+
+def q_insights_fallback(spark, d):
+    """F25 without any low-stock event (levels below 0): the all-clear row."""
+    return _curated(spark, d, "insights", 0)
+
+
 QUERIES: dict[str, Query] = {
     "parse_envelope": q_parse_envelope,
     "validate_errors": q_validate_errors,
@@ -463,4 +508,8 @@ QUERIES: dict[str, Query] = {
     "sku_reference_file": q_sku_reference_file,
     "jsonl_lines": q_jsonl_lines,
     "union_mixed_files": q_union_mixed_files,
+    "recover_second_run": q_recover_second_run,
+    "curated_counts": q_curated_counts,
+    "curated_kpis": q_curated_kpis,
+    "insights_fallback": q_insights_fallback,
 }

@@ -113,3 +113,35 @@ def test_scratch_folders_go_with_their_scope(spark):
         spark.range(1).write.parquet(path)
         assert os.path.exists(path.removeprefix("file:"))
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+@pytest.mark.parametrize("times", ["null", "one second", "one microsecond", "hour"])
+def test_ledger_of_one_busy_item_is_right_and_spread(spark, times):
+    from pyspark.sql import Window
+
+    from eventsieve.operators.ledger import SLICE_LEVELS, _hot_groups, _sliced, running_sum  # noqa: F401
+
+    ts = {"null": F.lit(None).cast("timestamp_ntz"), "one second": F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_interval(0,0,0,0,0,0,(id % 999983) / 1000000.0)"),
+          "one microsecond": F.expr("timestamp_ntz'2026-01-01 00:00:00'"), "hour": F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id % 3600)")}[times]
+    df = spark.range(4000).select(F.when(F.col("id") % 10 == 0, F.col("id").cast("string")).otherwise("hot").alias("sku"), ts.alias("ts"),
+                                  ((F.col("id") * 7919) % 4001).alias("tie"), (F.col("id") % 13 - 6).alias("v"))
+    df = stored(df, "t")
+    got = running_sum(df, "sku", "ts", "tie", "v", "run", hot_rows=100)
+    w = Window.partitionBy("sku").orderBy("ts", "tie").rowsBetween(Window.unboundedPreceding, 0)
+    want = df.withColumn("run", F.sum("v").over(w))
+    key = lambda x: sorted((r["sku"], r["tie"], r["run"]) for r in x.collect())
+    assert key(got) == key(want)
+    plan = got.groupBy(F.spark_partition_id()).count()
+    assert plan.agg(F.max("count")).first()[0] < 4000
+
+
+def test_rejects_that_cannot_be_recovered_wait_for_new_rules(spark, scratch):
+    from eventsieve.plans.jobs import LEDGER, run_recovery
+
+    rej = spark.createDataFrame([("{bad", "Failed to parse JSON", None, None, None, None, None)] * 2, schemas.REJECTS)
+    sinks.write_batch(rej, f"{scratch}/rejects", "stream", "t", 0)
+    args = (spark, f"{scratch}/rejects", f"{scratch}/raw", f"{scratch}/ledger")
+    assert run_recovery(*args, "r1") == 0
+    ledger = readers.read_table(spark, f"{scratch}/ledger", LEDGER)
+    assert H.pending_rejects(rej, ledger, "1").count() == 0
+    assert H.pending_rejects(rej, ledger, "2").count() == 2
