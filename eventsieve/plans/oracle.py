@@ -430,4 +430,9 @@ UNION ALL
 SELECT 'top_sku', printf('Top active SKU: %s (%s)', coalesce(c.product_name, t.entity_id), t.entity_id)
 FROM (SELECT entity_id, count(*) AS events FROM v WHERE entity_id IS NOT NULL GROUP BY 1 ORDER BY events DESC, entity_id LIMIT 1) t
 LEFT JOIN catalog c ON t.entity_id = c.sku_id""",
+    "stream_windows": with_(VALID) + """, t AS (SELECT try_strptime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS t FROM valid),
+w AS (SELECT time_bucket(INTERVAL '15 minutes', t) - to_minutes(CAST(15 * r.k AS BIGINT)) AS s
+      FROM t, (SELECT range AS k FROM range(4)) r WHERE t IS NOT NULL)
+SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL '1 hour', '%Y-%m-%d %H:%M:%S') AS window_end,
+  count(*) AS events FROM w WHERE s + INTERVAL '1 hour' <= (SELECT max(t) FROM t) - INTERVAL '2 hours' GROUP BY s""",
 }

@@ -418,6 +418,19 @@ def _tables(spark, d, name):
     return base
 
 
+def q_stream_windows(spark, d):
+    """ST11 on a stream: sliding windows that the watermark (2 hours) has closed when the feed ends."""
+    from eventsieve.sources.readers import read_table
+    from eventsieve.streaming.ingest import run_until_done
+
+    base = scratch_path(spark, "stream_windows")
+    raw(spark, d).write.parquet(f"{base}/raw")
+    feed = spark.readStream.schema(schemas.RAW).parquet(f"{base}/raw")
+    counts = W.sliding_counts(feed, "1 hour", "15 minutes", watermark="2 hours")
+    run_until_done(W.start_window_counts(counts, f"{base}/ckpt", f"{base}/out"))
+    return read_table(spark, f"{base}/out", counts.schema)
+
+
 def q_recover_second_run(spark, d):
     """H8: two recovery runs; the ledger holds every quarantined line once, with its outcome."""
     from eventsieve.plans.jobs import LEDGER, run_recovery
@@ -508,6 +521,7 @@ QUERIES: dict[str, Query] = {
     "sku_reference_file": q_sku_reference_file,
     "jsonl_lines": q_jsonl_lines,
     "union_mixed_files": q_union_mixed_files,
+    "stream_windows": q_stream_windows,
     "recover_second_run": q_recover_second_run,
     "curated_counts": q_curated_counts,
     "curated_kpis": q_curated_kpis,

@@ -42,7 +42,7 @@ def main() -> None:
     write_batch(valid, f"{base}/raw", "stream", "x", 0)
     write_batch(valid.limit(10), f"{base}/raw", "stream", "x", 1)
     raw = read_raw(spark, f"{base}/raw")
-    batch = Q.parse_events(QQ.lines(spark, sf))
+    batch = QQ.parsed(spark, sf)
     hist = history_ids(spark, f"{base}/raw", exclude=layout_filter("stream", "x", 1))
     cases = {
         "validate_events with history (ingest batch vs stored raw)":
@@ -55,6 +55,9 @@ def main() -> None:
         "stock_ledger (chunked running sum)": QQ.q_stock_ledger(spark, sf),
         "kpis (one aggregate over a tagged union)": QQ.q_kpis(spark, sf),
     }
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    cases["validate_events with history, as beyond the broadcast threshold (broadcasts by size off)"] = (
+        Q.validate_events(batch, hist, **QQ.RULES).select("seq", "errors"))
     out = ["# Physical plans (final, after AQE) at " + sf, "",
            "Generated by `scripts/explain_plans.py`; expression ids removed, lines cut at 200 characters.", ""]
     for title, df in cases.items():

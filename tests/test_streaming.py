@@ -107,6 +107,9 @@ def test_sliding_window_stream(spark, scratch):
     out = spark.read.parquet(f"{scratch}/out")
     # windows end before the watermark are final; each event lands in 4 windows
     assert out.agg(F.sum("events")).first()[0] >= 4
+    # the watermark is the last event time, 02:10: exactly the windows that end by then are out
+    got = sorted((r.window_start[11:16], r.events) for r in out.collect())
+    assert got == [(s, 1) for s in ("00:00", "00:15", "00:30", "00:45", "01:00", "23:15", "23:30", "23:45")]
 
 
 def test_kafka_projections_without_broker(spark):
