@@ -66,6 +66,12 @@ def cmd_summary(spark: SparkSession, ns) -> dict:
 
     gate = daily_summary(spark, ns.raw, ns.curated, ns.threshold, ns.files)
     rows = {r.output: r.asDict() for r in gate.collect()}  # one row per output
+    if ns.catalog:
+        from eventsieve.plans.jobs import curated_tables
+        from eventsieve.sources.readers import read_catalog_csv
+
+        more = curated_tables(spark, ns.raw, ns.rejects, read_catalog_csv(spark, ns.catalog), ns.curated, ns.threshold, ns.files)
+        rows |= {r.output: r.asDict() for r in more.collect()}
     if not all(r["schema_ok"] and r["non_empty"] for r in rows.values()):
         raise SystemExit(f"output gate failed: {rows}")
     return rows
@@ -107,6 +113,8 @@ def parser() -> argparse.ArgumentParser:
         elif name == "summary":
             s.add_argument("--curated", required=True)
             s.add_argument("--threshold", type=int, default=9)
+            s.add_argument("--catalog", help="catalog CSV; with it, counts, KPIs, categories and insights are written as well")
+            s.add_argument("--rejects", default="", help="rejects table, for the KPIs and insights")
         else:
             s.add_argument("--rejects", required=True)
             s.add_argument("--ledger", required=True)

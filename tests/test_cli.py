@@ -19,6 +19,10 @@ def test_cli_jobs(spark, scratch):
     assert (out["total_records"], out["valid_records"], out["rejected_records"]) == (1000, 900, 100)
     gate = cli.main(["summary", "--raw", f"{scratch}/raw", "--curated", f"{scratch}/curated"], spark)
     assert gate["top_items"]["row_count"] == 900 and gate["low_stock_alerts"]["row_count"] == 74
+    fx.catalog(spark, SF001).write.option("header", "true").csv(f"{scratch}/catalog")
+    more = cli.main(["summary", "--raw", f"{scratch}/raw", "--curated", f"{scratch}/curated", "--rejects",
+                     f"{scratch}/rejects", "--catalog", f"{scratch}/catalog"], spark)
+    assert more["kpis"]["row_count"] == 1 and more["insights"]["row_count"] == 4 and more["categories"]["schema_ok"]
     rec = cli.main(["recover", "--rejects", f"{scratch}/rejects", "--raw", f"{scratch}/raw", "--ledger",
                     f"{scratch}/ledger", "--run", "r1", "--source-map", '{"external-api": "app"}', *LISTS], spark)
     assert rec["recovered"] == 51
