@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows that go to a Python worker at once; whole texts can be long.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the memory of Python workers that read whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared scratch root and read it back.
 
@@ -69,11 +78,11 @@ def in_blocks(df: DataFrame, size: str, key: str, block: int) -> DataFrame:
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of the undirected ``edges(a, b)``: one row ``(key, root)`` per node.
 
-    Alternating large-star and small-star steps; every round is one written table, and only the
-    size and checksum of the edge set reach the driver. The root is the least key.
+    Alternating large-star and small-star steps on written tables until the edges are stars: every
+    node has one parent, and no parent has one. Only counts reach the driver. The root is the
+    least key.
     """
     edges = staged(edges.select("a", "b").filter("a != b"), name)
-    seen = None
     while True:
         both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = staged(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")), name)
@@ -84,10 +93,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         small = large.join(least, "a").filter("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.union(least.select("a", F.col("m").alias("b")))
         edges = staged(small.distinct(), name)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if seen == now:
+        n, nodes = edges.agg(F.count("*"), F.count_distinct("a")).first()
+        if n == nodes and edges.join(edges.select(F.col("b").alias("a")), "a", "left_semi").isEmpty():
             break
-        seen = now
     return edges.select(F.col("a").alias("key"), F.col("b").alias("root")).union(
         edges.select(F.col("b").alias("key"), F.col("b").alias("root")).distinct()
     )
