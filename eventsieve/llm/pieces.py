@@ -34,12 +34,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: Default model (a parameter of every function that needs one).
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 INFINITE = float("inf")
-#: Words, and pairs of pieces, that a task remembers.
-WORD_TABLE, PAIR_TABLE = 300_000, 2_000_000
+#: Words (the first different ones, common words come early) and pairs of pieces that a task remembers.
+WORD_TABLE, PAIR_TABLE = 400_000, 400_000
 
 
 def read_model(path: str) -> dict:
@@ -84,14 +86,18 @@ class Transducer:
         self.output[self.unknown] = " ⁇ ".encode()
         self.words: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.spines: dict[tuple[str, bool], list[tuple[str, float]] | None] = {}
+        if self.merges:  # a piece that merging never gives is on no path
+            self.pieces = {p: v for p, v in self.pieces.items() if len(p) == 1 or self.merged(p) == [p]}
 
     def normalise(self, text: str) -> str:
         return (MARK if self.prefix and text else "") + text.replace(" ", MARK)
 
-    def merged(self, text: str) -> list[str]:
-        """Merge neighbours, best score first and leftmost among equals, while a piece results."""
+    def merged(self, text: str, least: int = 1) -> list[str]:
+        """Merge neighbours, best score first and leftmost among equals, while a piece results and
+        more than ``least`` parts are left."""
         parts = list(text)
-        while len(parts) > 1:
+        while len(parts) > least:
             best, at = -INFINITE, -1
             for k in range(len(parts) - 1):
                 found = self.pieces.get(parts[k] + parts[k + 1])
@@ -102,13 +108,51 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return parts
 
+    def spine(self, piece: str, right: bool) -> list[tuple[str, float]] | None:
+        """What stands at one edge of a piece while it is merged, last first, each with the score of
+        the merge that takes it away. ``None`` if merging the characters doesn't give the piece, or
+        if some merge has no better score than the one it leads to."""
+        known = self.spines.get((piece, right), 0)
+        if known == 0:
+            known = self.spines[piece, right] = self._spine(piece, right)
+        return known
+
+    def _spine(self, piece: str, right: bool) -> list[tuple[str, float]] | None:
+        if len(piece) == 1:
+            return [(piece, -INFINITE)]
+        parts = self.merged(piece, 2)
+        score = self.pieces[piece][1] if piece in self.pieces else INFINITE
+        if len(parts) != 2 or any(len(p) > 1 and self.pieces[p][1] <= score for p in parts):
+            return None
+        halves = [self.spine(p, right) for p in parts]
+        if None in halves:
+            return None
+        return [(piece, -INFINITE), (parts[right], score), *halves[right][1:]]
+
     def allowed(self, left: str, right: str) -> bool:
-        """Grammar of a merge model: do these two pieces stay as they are side by side?"""
+        """Grammar of a merge model: do these two pieces stay as they are side by side?
+
+        Merges run from good scores to bad ones. So a merge over the border happens if what stands
+        at both edges then forms a piece whose score comes before those that take them away (the
+        left one goes first among equals)."""
         known = self.pairs.get((left, right))
         if known is None:
             if len(self.pairs) >= PAIR_TABLE:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merged(left + right) == [left, right]
+            a, b = self.spine(left, True), self.spine(right, False)
+            if a is None or b is None:
+                known = self.merged(left + right) == [left, right]
+            else:
+                known = True
+                for x, x_goes in a:
+                    for y, y_goes in b:
+                        found = self.pieces.get(x + y)
+                        if found is not None and x_goes < found[1] >= y_goes:
+                            known = False
+                            break
+                    if not known:
+                        break
+            self.pairs[left, right] = known
         return known
 
     def arcs(self, text: str, start: int) -> Iterator[tuple[str, float]]:
@@ -214,9 +258,7 @@ class Transducer:
             for k, word in enumerate(words):
                 if got[k] is None:
                     found = got[k] = known.get(word) or tuple(self.ids(search(word)))
-                    if len(known) >= WORD_TABLE:
-                        known.clear()
-                    if len(word) <= 64:
+                    if len(known) < WORD_TABLE and len(word) <= 64:
                         known[word] = found
         return list(chain.from_iterable(got))
 
@@ -239,6 +281,7 @@ def _machine(shared: Broadcast) -> Transducer:
 def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_chars, ids (array), round_trip (decoding the ids
     gives the text back, white-space marks read as spaces)."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model))  # one vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
