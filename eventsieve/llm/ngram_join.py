@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, in_blocks, sorted_groups, staged
+from .common import components, in_blocks, small_batches, sorted_groups, staged
 
 SHINGLE, THRESHOLD, TOLERANCE = 5, 0.8, 1e-5
 BANDS, ROWS, STEP = 24, 4, 16
@@ -212,6 +212,7 @@ def text_key(text: Column) -> Column:
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE) -> DataFrame:
     """One row per document: doc_id, class_id (least doc_id of its class), n_links (different texts
     that reach the threshold), n_copies (rows with the identical text), and key, class_key (contents)."""
+    small_batches(docs.sparkSession)
     rows = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
     signed = rows.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(  # text keeps null ids apart from numbers
         signatures, "doc_id string, key binary, signature binary, bands array<long>")
