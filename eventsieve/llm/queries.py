@@ -14,7 +14,7 @@ from .common import staged, table
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule counts and the isolation forest's verdict for every document."""
     stats = staged(quality.rule_stats(table(spark, sf_dir, "documents")), "rule-stats")
-    return quality.judge(stats, quality.fit(stats, table(spark, sf_dir, "labels")))
+    return quality.judge(stats, quality.fit(stats, table(spark, sf_dir, "labels"))).drop("n_lines")
 
 
 def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
