@@ -3,8 +3,10 @@
 Words are runs of ASCII letters, digits and all other non-ASCII characters, with A-Z lower-cased.
 Base phrases are found where their words stand consecutively. Templates are found by containment:
 a text block meets a template if it holds at least ``containment`` of the template's distinct words.
-Blocks are lines; a line of more than ``WINDOW`` words is cut into windows of that many words, each
-half a window after the one before, so that any half window of words lies in one block.
+Blocks are windows of ``WINDOW`` words over the words of the whole text, each half a window after the
+one before, so that any half window of words lies in one block however the text is wrapped (the
+longest template is shorter). Lines are blocks too, cut the same way when they are longer: a line
+lies whole in a block even where it crosses a window's edge.
 
 The join: words are ordered by their frequency in all blocks, rarest first. A block that meets a
 template of size n shares at least a = ceil(containment * n) words with it, so (length filter) it
@@ -89,8 +91,9 @@ def text_blocks(text: Column, vocabulary: list[str], least: int) -> Column:
         return F.transform(starts, lambda s: F.array_distinct(F.transform(
             F.filter(F.slice(ws, s + 1, WINDOW), lambda w: _known(w, vocabulary)), lambda w: F.lower(w))))
 
-    blocks = F.flatten(F.transform(F.transform(F.split(text, "\n"), words), windows))
-    return F.filter(blocks, lambda b: F.size(b) >= least)
+    parts = F.concat(F.array(words(text)), F.transform(F.split(text, "\n"), words))
+    blocks = F.flatten(F.transform(F.array_distinct(parts), windows))
+    return F.array_distinct(F.filter(blocks, lambda b: F.size(b) >= least))
 
 
 def template_matches(blocks: DataFrame, templates: tuple[tuple[str, str], ...], containment: float) -> DataFrame:

@@ -107,3 +107,16 @@ def test_masking_leaves_no_line_of_a_private_key(spark):
     assert masked[13] == "before [pem] and words\nwithout a key - after it"
     got = collected(secrets.findings_by_document(docs, scratch_path(spark, "t")))
     assert got == duck(oracle.OP4, documents=docs.select("doc_id", "text"))
+
+
+def test_wrapped_license_headers_are_met(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    gpl = ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\n"
+           "the Free Software Foundation")
+    texts = {(i, j): "\n".join(p + x for x in (prose(40 + i, lead) + "\n" + t + "\n" + prose(50 + i, 90)).split("\n"))
+             for i, t in enumerate((mit, bsd, gpl)) for j, (p, lead) in enumerate((("", 1), (" * ", 27), ("# ", 57), ("// ", 90)))}
+    docs = spark.createDataFrame([(10 * i + j, t, "en", "a", 1) for (i, j), t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r["doc_id"]: r for r in licenses.license_scan(docs).collect()}
+    for (i, j) in texts:
+        assert got[10 * i + j]["labels"] == ("mit", "bsd", "gpl")[i] and got[10 * i + j]["score"] >= 0.9, (i, j)
