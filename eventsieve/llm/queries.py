@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventsieve.session import scratch_path
 
-from . import chat, language, licenses, mixing, multi_index, ngram_join, pieces, quality, secrets, wrappers
+from . import chat, language, licenses, mixing, multi_index, ngram_join, packing, pieces, quality, secrets, wrappers
 from .common import staged, table
 
 
@@ -66,6 +66,12 @@ def op10_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sequence and place of every piece of every document, with a digest of its ids."""
+    pieces = staged(packing.token_pieces(table(spark, sf_dir, "documents")), "token-pieces")
+    return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).withColumn("length", F.col("length").cast("long"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scans": op2_license_scans,
@@ -77,4 +83,5 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_source_mix": op10_source_mix,
+    "op11_best_fit_packing": op11_best_fit_packing,
 }
