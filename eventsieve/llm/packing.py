@@ -20,6 +20,7 @@ table; an empty table gives an empty result. Other columns are left alone.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter, deque
 from collections.abc import Iterator
@@ -28,7 +29,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
-import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
@@ -38,52 +39,46 @@ from tokenizers import Tokenizer
 from .common import small_batches, staged
 
 TOKENIZER, CAPACITY, END_ID = "byte_bpe_50k.json", 1024, 2
-#: Words whose ids a Python worker keeps, and the longest word it keeps.
-WORDS, WORD_CHARS = 400_000, 64
 #: Bits of a piece's number within its length.
 RANK_BITS = 42
 PIECES = "doc_id long, piece int, start long, length int, ids binary, chunk int, nth long"
 
 
 class Encoder:
-    """A byte-level BPE tokenizer with a bounded table of words.
-
-    Its splitting pattern cuts a text into words that are merged one by one, so a word's ids don't
-    depend on what is around it. Texts with a special token in them are encoded whole."""
-
-    def __init__(self, json: str) -> None:
-        self.tokenizer = Tokenizer.from_str(json)
-        self.split = regex.compile(public_tokenizers.PATTERN)
-        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join(special)) if special else None
-        self.words: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    """A byte-level BPE tokenizer file, run by tiktoken's merging, which is several times faster and
+    gives the same ids: both merge the pair of the least id first. Texts that hold the string of a
+    special token go to the tokenizers library, which makes it one id."""
+
+    def __init__(self, text: str) -> None:
+        self.tokenizer = Tokenizer.from_str(text)
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        byte = byte_alphabet()
+        ranks = {bytes(byte[c] for c in token): i for token, i in json.loads(text)["model"]["vocab"].items() if token not in special}
+        self.merge = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         if self.special is not None and self.special.search(text):
-            return self._whole([text])[0]
-        words = self.split.findall(text)
-        got = list(map(self.words.get, words))
-        if None in got:
-            new = list({w for w, ids in zip(words, got) if ids is None})
-            found = dict(zip(new, self._whole(new)))
-            if len(self.words) + len(new) > WORDS:
-                self.words.clear()
-            self.words.update((w, ids) for w, ids in found.items() if len(w) <= WORD_CHARS)
-            got = [found[w] if ids is None else ids for w, ids in zip(words, got)]
-        return b"".join(got)
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return np.array(self.merge.encode_ordinary(text), "<u4").tobytes()
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable Latin-1 characters
+    for themselves, those from 256 on for the others in order."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
 _encoders: list[tuple[str, Encoder]] = []
 
 
-def _encoder(name: str, json: Broadcast) -> Encoder:
+def _encoder(name: str, file: Broadcast) -> Encoder:
     """The tokenizer of this Python worker; one at a time."""
     if not _encoders or _encoders[0][0] != name:
-        _encoders[:] = [(name, Encoder(json.value))]
+        _encoders[:] = [(name, Encoder(file.value))]
     return _encoders[0][1]
 
 
@@ -99,11 +94,11 @@ def token_pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CA
     same length (``nth``). Write it before use: both belong to one run of the partition."""
     small_batches(docs.sparkSession)
     with open(public_tokenizers.path(tokenizer), encoding="utf-8") as f:
-        json = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary
+        file = docs.sparkSession.sparkContext.broadcast(f.read())  # one vocabulary
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, seen, chunk = _encoder(tokenizer, json), Counter(), TaskContext.get().partitionId()
+        encoder, seen, chunk = _encoder(tokenizer, file), Counter(), TaskContext.get().partitionId()
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
