@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventsieve.session import scratch_path
 
-from . import chat, language, licenses, mixing, multi_index, ngram_join, packing, pieces, quality, secrets, wrappers
+from . import chat, language, licenses, mixing, multi_index, ngram_join, packing, pieces, quality, secrets, whitening, wrappers
 from .common import staged, table
 
 
@@ -72,6 +72,11 @@ def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).withColumn("length", F.col("length").cast("long"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened leading components of every vector."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scans": op2_license_scans,
@@ -84,4 +89,5 @@ QUERIES = {
     "op9_chat_formatting": op9_chat_formatting,
     "op10_source_mix": op10_source_mix,
     "op11_best_fit_packing": op11_best_fit_packing,
+    "op12_embedding_whitening": op12_embedding_whitening,
 }
