@@ -7,6 +7,7 @@ from math import ceil
 from .licenses import CONTAINMENT, GAP, PHRASES, TEMPLATES, WINDOW
 from .mixing import MAX_REPEATS, SHARE, WEIGHTS
 from .secrets import BASE, RULES
+from .signatures import TOP
 
 SPACE = r"[\x20\x09-\x0D]"
 
@@ -94,8 +95,27 @@ SELECT doc_id, source, size, source_size, target, (size * (copies
 FROM c
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, translate(text, '{UPPER}', '{UPPER.lower()}') AS t FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, translate(text, '{UPPER}', '{UPPER.lower()}') AS t FROM benchmark),
+dt AS (SELECT r, doc_id, unnest(regexp_extract_all(t, '{TERM}')) AS term FROM d),
+tf AS (SELECT r, doc_id, term, count(*) AS tf FROM dt GROUP BY ALL),
+n AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS l FROM n),
+m AS (SELECT r, 75 + (25 * n * docs) // l AS m FROM n, c),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term),
+bt AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(regexp_extract_all(t, '{TERM}')) AS term FROM b) GROUP BY ALL),
+s AS (SELECT q, item_id, r, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+  FROM bt JOIN w USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= {TOP}
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_license_scans": OP2,
     "op4_secret_scans": OP4,
     "op10_source_mix": OP10,
+    "op13_ranked_search": OP13,
 }

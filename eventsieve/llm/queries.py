@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventsieve.session import scratch_path
 
-from . import chat, language, licenses, mixing, multi_index, ngram_join, packing, pieces, quality, secrets, whitening, wrappers
+from . import chat, language, licenses, mixing, multi_index, ngram_join, packing, pieces, quality, secrets, signatures, whitening, wrappers
 from .common import staged, table
 
 
@@ -77,6 +77,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    return signatures.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_license_scans": op2_license_scans,
@@ -90,4 +95,5 @@ QUERIES = {
     "op10_source_mix": op10_source_mix,
     "op11_best_fit_packing": op11_best_fit_packing,
     "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_ranked_search": op13_ranked_search,
 }
