@@ -47,6 +47,8 @@ LEVELS = (1, 2, 3, 4, 5, 6, 8, 11, 16, 24, 40, 80, 200, 1000)
 HASHES, KEY_BITS, BLOCK_BITS, READ_BLOCKS = 4, 12, 1 << 23, 16
 #: Documents scored for an item to find its threshold; terms of one item block; hashes the df table tells apart.
 SEEDS, ITEM_TERMS, HASH_SLOTS = 40, 200_000, 1 << 22
+#: Parts of an item's found rows (a few of each partition) that are ranked apart before the rest is.
+MERGE = 16
 #: Terms whose hash or number a Python worker keeps.
 KNOWN_TERMS = 500_000
 
@@ -302,8 +304,11 @@ def _scored(docs: DataFrame, wanted: DataFrame, items: Items, n_docs: int, n_ter
 
 
 def _best(rows: DataFrame, by: str, top: int) -> DataFrame:
-    w = Window.partitionBy("q").orderBy(F.desc(by), F.asc_nulls_last("doc_id"))
-    return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    """The ``top`` rows of every item: first of each of ``MERGE`` parts of an item, then of these."""
+    for keys in (["q", F.pmod(F.xxhash64("doc_id"), F.lit(MERGE))], ["q"]):
+        w = Window.partitionBy(*keys).orderBy(F.desc(by), F.asc_nulls_last("doc_id"))
+        rows = rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
+    return rows
 
 
 def item_terms(items: DataFrame) -> DataFrame:
