@@ -6,7 +6,7 @@ from math import ceil
 
 from .licenses import CONTAINMENT, GAP, PHRASES, TEMPLATES, WINDOW
 from .mixing import MAX_REPEATS, SHARE, WEIGHTS
-from .secrets import BASE, RULES
+from .secrets import BASE, BREAK, ENCRYPTION, END, HEADER, INLINE_CHARS, LINE, LINE_CHARS, LINE_STOP, RULES, SIGNS
 from .signatures import TOP
 
 SPACE = r"[\x20\x09-\x0D]"
@@ -16,6 +16,9 @@ def _secret_spans() -> str:
     """One list of spans per rule: gaps and matches alternate, so their lengths give the places."""
     out = []
     for i, r in enumerate(RULES):
+        if r.kind == "pem":
+            out.append("coalesce(keys, [])")
+            continue
         p = "'" + r.pattern.replace("'", "''") + "'"
         out.append(f"""(SELECT list_filter(list_transform(range(1, len(m) + 1), lambda i: {{
             'start': list_sum(list_transform(gap[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0),
@@ -67,9 +70,36 @@ SELECT doc_id, n_words::BIGINT AS n_words, len(places)::BIGINT AS n_base, list_m
 FROM b
 """
 
+def _q(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+SHORT = f"regexp_matches(x, '[A-Za-z]') AND length(x) < {LINE_CHARS}"
 OP4 = f"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
-f AS (SELECT doc_id, {_secret_spans()} AS found FROM d)
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+h AS (SELECT r, regexp_extract_all(t, {_q(HEADER)}) AS hs, string_split_regex(t, {_q(HEADER)}) AS segs FROM d WHERE regexp_matches(t, {_q(HEADER)})),
+p AS (SELECT r, hs, segs, unnest(range(1, len(hs) + 1)) AS i FROM h),
+s AS (SELECT r, list_sum(list_transform(segs[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hs[1:i - 1], lambda x: length(x))), 0) AS start,
+    length(hs[i]) AS size, regexp_replace(segs[i + 1], {_q(BREAK)}, chr(10) || chr(10), 'g') AS t FROM p),
+s1 AS (SELECT *, length(regexp_extract(t, {_q(ENCRYPTION)}, 0)) AS k1 FROM s),
+s2 AS (SELECT *, k1 + length(regexp_extract(substr(t, k1 + 1), {_q(ENCRYPTION)}, 0)) AS k FROM s1),
+s3 AS (SELECT *, substr(t, k + 1) AS rest FROM s2),
+s4 AS (SELECT *, string_split_regex(rest, {_q(END)})[1] AS inside, regexp_extract_all(rest, {_q(LINE)}) AS runs, string_split_regex(rest || chr(10), {_q(LINE)}) AS gaps FROM s3),
+s5 AS (SELECT *, regexp_extract_all(inside, {_q(LINE)}) AS words, array_to_string(list_transform(range(1, len(runs) + 1), lambda i: CASE
+    WHEN regexp_matches(gaps[i], {_q(f"[^{SIGNS}]")}) THEN '0'
+    WHEN length(runs[i]) >= {LINE_CHARS} AND (regexp_matches(gaps[i], '[\r\n]') OR length(runs[i]) >= {INLINE_CHARS}) THEN '2'
+    WHEN length(runs[i]) >= {LINE_CHARS} THEN '0'
+    WHEN NOT regexp_matches(runs[i], '[A-Za-z]') THEN '1'
+    WHEN regexp_matches(gaps[i], '[\r\n]') AND regexp_matches(gaps[i + 1], {_q(LINE_STOP)}) THEN '3' ELSE '0' END), '') AS kinds FROM s4),
+s6 AS (SELECT *, length(regexp_extract(kinds, '^[12]*')) AS run, length(regexp_extract(kinds, '^[12]*2')) AS held FROM s5),
+s7 AS (SELECT *, CASE WHEN held > 0 AND substr(kinds, run + 1, 1) = '3' THEN run + 1 ELSE held END AS n FROM s6),
+s8 AS (SELECT *, CASE WHEN regexp_matches(rest, {_q(END)}) AND NOT regexp_matches(inside, '[^\x00-\x7F]')
+      AND len(list_filter(words[1:len(words) - 1], lambda x: {SHORT})) <= len(list_filter(words, lambda x: length(x) >= {LINE_CHARS}))
+    THEN length(inside) + length(regexp_extract(rest, {_q(END)}, 0))
+    ELSE coalesce(list_sum(list_transform(gaps[1:n], lambda x: length(x))) + list_sum(list_transform(runs[1:n], lambda x: length(x))), 0) END AS n_key FROM s7),
+k AS (SELECT r, list({{'start': start, 'ord': {len(RULES) - 1}, 'stop': start + size + CASE WHEN n_key > 0 THEN k + n_key ELSE 0 END, 'fine': true, 'kind': 'pem'}}) AS keys
+  FROM s8 GROUP BY r),
+f AS (SELECT doc_id, {_secret_spans()} AS found FROM d LEFT JOIN k USING (r))
 SELECT doc_id, {", ".join(f"len(list_filter(found, lambda x: x.kind = '{k}'))::BIGINT AS n_{k}" for k in BASE)},
   sha256({_joined(f"list_filter(found, lambda x: x.ord < {len(BASE)})")}) AS base_sha256, {_joined("found")} AS spans
 FROM f

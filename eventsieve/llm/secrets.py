@@ -14,6 +14,7 @@ left alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,16 +34,14 @@ class Rule:
     group: int = 0
 
 
-#: A private key: its header, then all up to its END line (at most 400 runs of up to four dashes lie
-#: between); without one, the lines of base64 that follow (the last may be short), with the usual
-#: encryption headers and comment or quote signs before and after. A line break may be written as \\n.
-#: Both regex dialects read it alike; the counts bound the matcher's stack.
-_NL, _PRE, _POST = r"(?:[\r\n]|\\[rn])", r"""[\x20\t>#*|;%"'-]*(?://)?[\x20\t"']*""", r"""["'+,;\x20\t]*"""
-_LINE = rf"{_NL}+{_PRE}" + "[A-Za-z0-9+/]" * 16 + rf"[A-Za-z0-9+/]*=*{_POST}"
-PEM = (
-    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[^-]*(?:--?-?-?[^-]+){0,400}-----END [A-Z ]*PRIVATE KEY-----"
-    rf"|{_POST}(?:{_NL}+{_PRE}(?:Proc-Type|DEK-Info):[^\r\n\\]*){{0,2}}{_LINE}(?:{_LINE}){{0,399}}(?:{_NL}+{_PRE}[A-Za-z0-9+/]+=*{_POST}(?:{_NL}|\z))?)?"
-)
+#: A private key: its header line, and what ``key_length`` finds after it. All patterns are single
+#: characters or runs of one class, so the matcher needs no stack, and both regex dialects read them alike.
+HEADER, END = r"-----BEGIN [A-Z ]*PRIVATE KEY-----", r"-----END [A-Z ]*PRIVATE KEY-----"
+BREAK, LINE, SIGNS = r"\\[rn]", r"[A-Za-z0-9+/=]+", r"""\x20\t\r\n>#*|;%"',\\:-"""
+ENCRYPTION = rf"^[{SIGNS}]*(Proc-Type|DEK-Info):[^\r\n]*"
+LINE_STOP = r"""^["',;\x20\t\\]*[\r\n]"""
+#: Base64 characters that a line of a key has at least (the last may have fewer), and without a line break before it.
+LINE_CHARS, INLINE_CHARS = 16, 32
 
 #: The first three kinds in this order, then the added ones.
 BASE = ("assign", "access", "hex")
@@ -53,9 +52,9 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", 40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}", 15),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 30),
-    Rule("pem", PEM, 20),
+    Rule("pem", HEADER, 20),
 )
-RULE_VERSION = 3  # 1 took a key's header alone; 2 is the tests' other version
+RULE_VERSION = 4  # 1 took a key's header alone, 3 up to 400 lines; 2 is the tests' other version
 
 SPAN = "struct<start:int,ord:int,end:int,kind:string>"
 LEDGER = T.StructType([
@@ -73,8 +72,6 @@ def blob(text: Column) -> Column:
 
 def _may_match(rule: Rule) -> str:
     """A pattern that every counted match of the rule contains, cheaper to look for."""
-    if rule.kind == "pem":
-        return r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
     return r"[0-9a-f]{%d}" % rule.least if rule.kind == "hex" else rule.pattern
 
 
@@ -99,9 +96,85 @@ def rule_spans(text: Column, rule: Rule, order: int) -> Column:
     return F.when(text.rlike(_may_match(rule)), F.aggregate(parts, start, step, lambda a: a["spans"])).otherwise(none)
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _cut(text: Column, pattern: str) -> Column:
+    """The matches of a pattern with the text before each of them (``g``, ``t``) and after it (``n``)."""
+    gaps = F.split(text, pattern, -1)
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    return _let(F.struct(gaps.alias("gaps"), found.alias("found")), lambda x: F.arrays_zip(
+        F.slice(x["gaps"], F.lit(1), F.size(x["found"])).alias("g"), x["found"].alias("t"), F.slice(x["gaps"], F.lit(2), F.size(x["found"])).alias("n")))
+
+
+def key_length(after: Column) -> Column:
+    """Characters of a private key after its header line, in the text up to the next header.
+
+    With an END line the key goes up to it, if what lies between holds ASCII only and not more words
+    (runs of base64 characters with a letter, shorter than a line; the last one aside) than lines;
+    otherwise it is prose about keys. Without one, or in prose, it takes the lines that follow at once:
+    each after a line break, with nothing but quote and comment signs between them, and at their end
+    a shorter line that stands alone. An encryption header may come first. A line break may be
+    written as \\n."""
+    text = F.regexp_replace(after, BREAK, "\n\n")  # keeps the places
+
+    def short(t: Column) -> Column:
+        return t.rlike("[A-Za-z]") & (F.length(t) < LINE_CHARS)
+
+    def closed(rest: Column) -> Column:
+        inner = F.element_at(F.split(rest, END, 2), 1)
+        return _let(F.struct(inner.alias("inner"), F.regexp_extract_all(inner, F.lit(LINE), F.lit(0)).alias("runs")), lambda x: F.when(
+            rest.rlike(END) & ~x["inner"].rlike(r"[^\x00-\x7F]")
+            & (F.size(F.filter(F.slice(x["runs"], F.lit(1), F.greatest(F.size(x["runs"]) - 1, F.lit(0))), short))
+               <= F.size(F.filter(x["runs"], lambda t: F.length(t) >= LINE_CHARS))),
+            F.length(x["inner"]) + F.length(F.regexp_extract(rest, END, 0))))
+
+    def kind(x: Column) -> Column:
+        """2: a line of the key, 1: signs alone, 3: a last line, 0: anything else."""
+        clean, broken = ~x["g"].rlike(f"[^{SIGNS}]"), x["g"].rlike(r"[\r\n]")
+        size = F.length(x["t"])
+        return (
+            F.when(clean & (size >= LINE_CHARS) & (broken | (size >= INLINE_CHARS)), "2")
+            .when(clean & ~x["t"].rlike("[A-Za-z]") & (size < LINE_CHARS), "1")
+            .when(clean & broken & short(x["t"]) & x["n"].rlike(LINE_STOP), "3").otherwise("0"))
+
+    def lines(rest: Column) -> Column:
+        def upto(x: Column) -> Column:
+            run, held = F.regexp_extract(x["kinds"], "^[12]*", 0), F.regexp_extract(x["kinds"], "^[12]*2", 0)
+            last = (F.length(held) > 0) & (F.substring(x["kinds"], F.length(run) + 1, F.lit(1)) == "3")
+            count = F.when(last, F.length(run) + 1).otherwise(F.length(held))
+            return F.aggregate(F.slice(x["runs"], F.lit(1), count), F.lit(0), lambda a, y: a + F.length(y["g"]) + F.length(y["t"]))
+
+        return _let(_cut(F.concat(rest, F.lit("\n")), LINE), lambda runs:  # the text's end ends a line
+            _let(F.struct(runs.alias("runs"), F.array_join(F.transform(runs, kind), "").alias("kinds")), upto))
+
+    def from_text(t: Column) -> Column:
+        first = F.length(F.regexp_extract(t, ENCRYPTION, 0))
+        skip = first + F.length(F.regexp_extract(F.substring(t, first + 1, F.length(t)), ENCRYPTION, 0))
+        return _let(skip, lambda k: _let(F.substring(t, k + 1, F.length(t)), lambda rest: _let(
+            F.coalesce(closed(rest), lines(rest)), lambda n: F.when(n > 0, k + n).otherwise(0))))
+
+    return _let(text, from_text)
+
+
+def key_spans(text: Column, order: int) -> Column:
+    """Spans of private keys; a key ends before the next header."""
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["g"])
+        end = start + F.length(x["t"])
+        span = F.struct(start.alias("start"), F.lit(order).alias("ord"), (end + key_length(x["n"])).alias("end"), F.lit("pem").alias("kind"))
+        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+
+    none = F.array().cast(f"array<{SPAN}>")
+    start = F.struct(F.lit(0).alias("at"), none.alias("spans"))
+    return F.when(text.rlike(HEADER), F.aggregate(_cut(text, HEADER), start, step, lambda a: a["spans"])).otherwise(none)
+
+
 def scan(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """All spans of a text, by start, then by the order of the rules."""
-    return F.array_sort(F.concat(*[rule_spans(text, r, i) for i, r in enumerate(rules)]))
+    return F.array_sort(F.concat(*[(key_spans(text, i) if r.kind == "pem" else rule_spans(text, r, i)) for i, r in enumerate(rules)]))
 
 
 def read_ledger(spark: SparkSession, folder: str) -> DataFrame:

@@ -109,6 +109,40 @@ def test_masking_leaves_no_line_of_a_private_key(spark):
     assert got == duck(oracle.OP4, documents=docs.select("doc_id", "text"))
 
 
+def test_long_keys_and_prose_about_keys(spark):
+    rng = random.Random(6)
+    some = ["".join(rng.choice("ABCDEFxyz0189+/") for _ in range(64)) for _ in range(500)]
+    head, end = "-----BEGIN PRIVATE KEY-----", "-----END PRIVATE KEY-----"
+    wraps = (lambda x: x, lambda x: "> " + x, lambda x: "// " + x, lambda x: '"' + x + '\\n" +')
+    texts, left = {}, {}
+    for n in (24, 340, 401, 5000, 100_000):
+        body = [some[i % 500] for i in range(n)]
+        for w, wrap in enumerate(wraps if n < 10_000 else wraps[:1]):
+            for close in ([end], []):
+                key = "\n".join(map(wrap, [head, *body, *close]))
+                texts[len(texts)] = "before it\n" + key + "\nafter it all"
+                left[len(texts) - 1] = ("before it\n" + wrap(head)[: len(wrap(head)) - len(head)] if w != 3 else 'before it\n"') + "[pem]"
+        texts[len(texts)] = "before it\n" + "\\n".join([head, *body, end]) + " after it all"
+        left[len(texts) - 1] = "before it\n[pem]"
+    prose = "A PEM file starts with " + head + " as its header. " + "Then come some lines of text, as said before. " * 30 + "It closes with " + end + " and more prose."
+    dashes = "see " + head + "\n" + " - ".join(["a-b"] * 800) + "\n" + end
+    chinese = head + " 私钥 " + end
+    docs = spark.createDataFrame([(k, t, "en", "a", 1) for k, t in [*texts.items(), (900, prose), (901, dashes), (902, chinese)]],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    masked = {r["doc_id"]: r["text"] for r in secrets.mask_secrets(docs.repartition(8)).collect()}
+    for k, start in left.items():
+        assert masked[k].startswith(start) and masked[k].endswith("after it all"), (k, masked[k][:200])
+        assert not any(x in masked[k] for x in some) and len(masked[k]) < 60, (k, masked[k][:200])
+    assert masked[900] == prose.replace(head, "[pem]") and masked[901] == dashes.replace(head, "[pem]") and masked[902] == chinese.replace(head, "[pem]")
+    short = docs.filter("length(text) < 40000")  # the SQL takes quadratic memory
+    got = collected(secrets.findings_by_document(short, scratch_path(spark, "t")))
+    assert got == duck(oracle.OP4, documents=short.select("doc_id", "text"))
+
+
+def test_masking_empty_tables(spark):
+    assert secrets.mask_secrets(none_of(spark)).collect() == [] == mixing.take(none_of(spark)).collect()
+
+
 def test_wrapped_license_headers_are_met(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files"
     bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
