@@ -1,7 +1,9 @@
 """Corpus pipeline: documents through the training-data stages, each written and read again.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but
-the last return the columns of ``documents``; the last returns the tokens.
+the last return the columns of ``documents``; the last returns the tokens. Nulls, empty and very long
+texts, repeated rows and extra columns have the results that each operator's module states; null and
+empty texts fail the base rules, so they end with the first stage. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -13,9 +15,8 @@ from eventsieve.llm.common import staged, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules or the isolation forest reject go."""
-    stats = staged(quality.rule_stats(docs), "rule-stats")
-    return quality.keep_good(docs, quality.fit(stats, table(spark, sf_dir, "labels")))
+    """Documents that the base rules or the isolation forests reject go."""
+    return quality.keep_clean(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
