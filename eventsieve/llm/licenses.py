@@ -3,9 +3,10 @@
 Words are runs of ASCII letters, digits and all other non-ASCII characters, with A-Z lower-cased.
 Base phrases are found where their words stand consecutively. Templates are found by containment:
 a text block meets a template if it holds at least ``containment`` of the template's distinct words.
-Blocks are windows of ``WINDOW`` words over the words of the whole text, each half a window after the
-one before, so that any half window of words lies in one block however the text is wrapped (the
-longest template is shorter). Lines are blocks too, cut the same way when they are longer: a line
+Blocks are windows over the words of the whole text, each half a window after the one before, so that
+any half window of words lies in one block however the text is wrapped. A window has ``WINDOW`` words,
+or twice as many as the longest template if those are more, so a template held whole is always
+within a block. Lines are blocks too, cut the same way when they are longer: a line
 lies whole in a block even where it crosses a window's edge.
 
 The join: words are ordered by their frequency in all blocks, rarest first. A block that meets a
@@ -82,14 +83,19 @@ def phrase_places(hits: str, phrase: str) -> Column:
     return F.transform(F.filter(F.col(hits), stands), lambda x: x["i"])
 
 
-def text_blocks(text: Column, vocabulary: list[str], least: int) -> Column:
+def window_words(templates: tuple[tuple[str, str], ...]) -> int:
+    """Words of a block: at least twice as many as the longest template."""
+    return max(WINDOW, *(2 * len(t.split()) for t, _ in templates))
+
+
+def text_blocks(text: Column, vocabulary: list[str], least: int, window: int) -> Column:
     """The distinct template words of every block that has at least ``least`` of them."""
-    half = WINDOW // 2
+    half = window // 2
 
     def windows(ws: Column) -> Column:
         starts = F.sequence(F.lit(0), F.greatest(F.size(ws) - half - 1, F.lit(0)), F.lit(half))
         return F.transform(starts, lambda s: F.array_distinct(F.transform(
-            F.filter(F.slice(ws, s + 1, WINDOW), lambda w: _known(w, vocabulary)), lambda w: F.lower(w))))
+            F.filter(F.slice(ws, s + 1, window), lambda w: _known(w, vocabulary)), lambda w: F.lower(w))))
 
     parts = F.concat(F.array(words(text)), F.transform(F.split(text, "\n"), words))
     blocks = F.flatten(F.transform(F.array_distinct(parts), windows))
@@ -131,7 +137,7 @@ def license_scan(docs: DataFrame, templates: tuple[tuple[str, str], ...] = TEMPL
     vocabulary = sorted(set().union(*sets))
     least = min(ceil(containment * len(s) - 1e-9) for s in sets)
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", words(text).alias("ws"), text_blocks(text, vocabulary, least).alias("blocks"))
+    rows = docs.select("doc_id", words(text).alias("ws"), text_blocks(text, vocabulary, least, window_words(templates)).alias("blocks"))
     rows = rows.select("doc_id", F.size("ws").cast("long").alias("n_words"), phrase_words(F.col("ws")).alias("hits"), "blocks")
     names = [f"p{i}" for i in range(len(PHRASES))]
     rows = rows.select("doc_id", "n_words", "blocks", *[phrase_places("hits", p).alias(n) for n, p in zip(names, PHRASES)])

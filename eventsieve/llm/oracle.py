@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from math import ceil
 
-from .licenses import CONTAINMENT, GAP, PHRASES, TEMPLATES, WINDOW
+from .licenses import CONTAINMENT, GAP, PHRASES, TEMPLATES, window_words
 from .mixing import MAX_REPEATS, SHARE, WEIGHTS
 from .secrets import BASE, BREAK, ENCRYPTION, END, HEADER, INLINE_CHARS, LINE, LINE_CHARS, LINE_STOP, RULES, SIGNS
 from .signatures import TOP
@@ -53,11 +53,17 @@ def _template_met(template: str) -> tuple[str, str]:
     return met, f"CASE WHEN {met} THEN {held}::DOUBLE / {len(own)} ELSE 0 END"
 
 
+def _blocks(ws: str) -> str:
+    """Windows over a list of words, each half a window after the one before."""
+    window = window_words(TEMPLATES)
+    half = window // 2
+    return f"list_transform(range(0, greatest(len({ws}) - {half + 1}, 0) + 1, {half}), lambda s: {ws}[s + 1:s + {window}])"
+
+
 OP2 = f"""
 WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}') AS t FROM documents),
-w AS (SELECT doc_id, {_words("t")} AS ws,
-  flatten(list_transform(string_split(t, chr(10)), lambda l: list_transform(
-    range(0, greatest(len({_words("l")}) - {WINDOW // 2 + 1}, 0) + 1, {WINDOW // 2}), lambda s: {_words("l")}[s + 1:s + {WINDOW}]))) AS blocks FROM d),
+v AS (SELECT doc_id, {_words("t")} AS ws, list_transform(string_split(t, chr(10)), lambda l: {_words("l")}) AS ls FROM d),
+w AS (SELECT doc_id, ws, {_blocks("ws")} || flatten(list_transform(ls, lambda l: {_blocks("l")})) AS blocks FROM v),
 p AS (SELECT doc_id, len(ws) AS n_words, {", ".join(f"{_phrase_places(p)} AS p{i}" for i, p in enumerate(PHRASES))},
   {", ".join(f"{_template_met(t)[0]} AS t{i}, {_template_met(t)[1]} AS s{i}" for i, (t, _) in enumerate(TEMPLATES))} FROM w),
 b AS (SELECT *, {" || ".join(f"p{i}" for i in range(len(PHRASES)))} AS places,

@@ -154,3 +154,12 @@ def test_wrapped_license_headers_are_met(spark):
     got = {r["doc_id"]: r for r in licenses.license_scan(docs).collect()}
     for (i, j) in texts:
         assert got[10 * i + j]["labels"] == ("mit", "bsd", "gpl")[i] and got[10 * i + j]["score"] >= 0.9, (i, j)
+    assert collected(licenses.license_scan(docs)) == duck(oracle.OP2, documents=docs.select("doc_id", "text"))
+
+
+def test_a_template_longer_than_a_window_is_met(spark):
+    long = " ".join(f"w{i}" for i in range(80))
+    own = ((long, "long"), ("all rights reserved", "reserved"))
+    texts = [prose(i, lead) + "\n" + "\n * ".join(" ".join(long.split()[k : k + 9]) for k in range(0, 80, 9)) + "\n" + prose(9, 50) for i, lead in enumerate((1, 40, 79, 81, 130))]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {(r["labels"], r["score"]) for r in licenses.license_scan(docs, own).collect()} == {("long", 1.0)}
