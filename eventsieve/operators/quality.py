@@ -8,7 +8,7 @@ one join back (see ``operators.keys``).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,7 +94,7 @@ def _ordered_rows(parsed: DataFrame, order_by: Sequence[str | Column], total_ord
     return parsed, rows.withColumn("_jk", join_key("_id")).withColumn("_order", order_struct(order))
 
 
-def validate_events(parsed: DataFrame, history: DataFrame | None = None, *,
+def validate_events(parsed: DataFrame, history: DataFrame | Callable[[DataFrame], DataFrame] | None = None, *,
                     allowed_types: Sequence[str] = R.DEFAULT_EVENT_TYPES,
                     allowed_sources: Sequence[str] = R.DEFAULT_SOURCES,
                     order_by: Sequence[str | Column] = DEFAULT_ORDER,
@@ -111,7 +111,8 @@ def validate_events(parsed: DataFrame, history: DataFrame | None = None, *,
       take part in the ranking (D5); ``dedup_valid_only`` ranks only rows without V1-V9 errors.
     * V11: the id occurs in ``history`` (a frame with an ``event_id`` column, such
       as the ids of the raw table). The history is semi-joined to the batch keys,
-      so a repeated id there never multiplies rows (D17).
+      so a repeated id there never multiplies rows (D17). It may also be a function from
+      the batch's keys (column ``_hid``) to the known ones, such as ``IdIndex.known``.
 
     Only ids with more than one row, or with a hit in the history, are joined back: a lone id
     is its own newest row. These ids are stored first, so Spark knows their size in bytes and
@@ -127,7 +128,8 @@ def validate_events(parsed: DataFrame, history: DataFrame | None = None, *,
     keys = winners(rows, "_jk", ["_order"], newest=True, eligible=eligible, out="_winner").filter("_jk.k")
     if history is not None:
         keys = stored(keys, "batch-keys")
-        hits = history_hits(keys.select(F.col("_jk.v").alias("_hid")), history, "_hid")
+        batch_keys = keys.select(F.col("_jk.v").alias("_hid"))
+        hits = history(batch_keys) if callable(history) else history_hits(batch_keys, history, "_hid")
         hits = hits.select(present_key("_hid").alias("_jk"), F.lit(True).alias("_seen"))
         keys = keys.join(hits, "_jk", "left")
     else:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from eventsieve import schemas
+from eventsieve.streaming.tables import ManagedTable
 
 # Partition columns of the idempotent raw/rejects layout (see streaming.sinks).
 # Their types are declared: inferred ones would read the ingest names ``01`` and ``1`` as one number.
@@ -38,8 +39,11 @@ def read_table(spark: SparkSession, path: str, schema: StructType, *, keep_layou
 
     ``keep_layout`` keeps the partition columns ``origin/ingest/batch_id`` (used to
     exclude the batch being written from the history scan). ``ignore_corrupt`` skips
-    unreadable files instead of failing the job; ``skipped_files`` lists them.
+    unreadable files instead of failing the job; ``skipped_files`` lists them. A managed
+    table (``streaming.tables``) is read at its newest version.
     """
+    if ManagedTable.at(spark, path):
+        return ManagedTable(spark, path, schema).read(keep_layout=keep_layout)
     reader = spark.read.option("recursiveFileLookup", "false")
     if ignore_corrupt:
         reader = reader.option("ignoreCorruptFiles", "true")

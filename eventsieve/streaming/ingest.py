@@ -7,10 +7,14 @@ Per micro-batch:
 2. empty batch → metrics row only (ST7);
 3. history = ids of raw **except this batch's own folder** (a retry sees the same
    history as the first attempt, D6); the history is semi-joined to the batch keys;
-4. validate, persist, one aggregate for the three counts (A1);
-5. overwrite both batch folders (raw and rejects, also when a side is empty);
+4. validate and persist (both sides are written from it);
+5. overwrite both batch folders (raw and rejects, also when a side is empty); their rows are
+   counted while they are written (A1);
 6. overwrite this batch's metrics folder (ST8).
 
+With ``managed`` tables, step 3 asks the id index instead of reading raw, step 5 publishes one folder
+a side in the tables' logs and adds the ids to the index, and small folders are merged now and then.
+
 Exactly-once follows from the deterministic folder per ``(ingest, batch_id)``:
 Spark replays a failed batch with the same id and the same offsets.
 """
@@ -23,17 +27,20 @@ from collections import deque
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import StructType
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
+from eventsieve.operators.id_index import IdIndex
 from eventsieve.operators.keys import HOT_KEY_ROWS
-from eventsieve.operators.quality import DEFAULT_ORDER, batch_counts, numbered, parse_events, split_events, validate_events
+from eventsieve.operators.quality import DEFAULT_ORDER, numbered, parse_events, split_events, validate_events
 from eventsieve.session import scratch_scope
 from eventsieve.sources.readers import history_ids
 from eventsieve.streaming.sinks import batch_folder, layout_filter, write_batch
+from eventsieve.streaming.tables import FANOUT, ManagedTable
 
 ORIGIN_STREAM = "stream"
 
@@ -50,9 +57,49 @@ class IngestConfig:
     files_per_batch: int | None = None
     hot_rows: int = HOT_KEY_ROWS
     source_name: str = "lines"
+    # Raw and rejects as managed tables, with an id index beside raw; folders merge every ``compact_every`` batches.
+    managed: bool = False
+    compact_every: int = 8
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
+def id_index(spark: SparkSession, raw_path: str) -> IdIndex:
+    """The id index of a managed raw table."""
+    return IdIndex(spark, f"{raw_path.rstrip('/')}/_ids")
+
+
+def _history(spark: SparkSession, cfg: IngestConfig, batch_id: int) -> DataFrame | Callable[[DataFrame], DataFrame]:
+    """The ids of raw without this batch's own: the index of a managed table, else a scan of raw."""
+    if cfg.managed:
+        return lambda keys: id_index(spark, cfg.raw_path).known(keys, "_hid", exclude=(ORIGIN_STREAM, cfg.ingest_name, batch_id))
+    return history_ids(spark, cfg.raw_path, exclude=layout_filter(ORIGIN_STREAM, cfg.ingest_name, batch_id))
+
+
+def _write(spark: SparkSession, cfg: IngestConfig, df: DataFrame, path: str, schema: StructType, batch_id: int) -> int:
+    """Write one side of a batch; its rows are counted on the way."""
+    if cfg.managed:
+        return ManagedTable(spark, path, schema).write(df, ORIGIN_STREAM, cfg.ingest_name, batch_id, cfg.files_per_batch).rows
+    seen = Observation()
+    write_batch(df.observe(seen, F.count(F.lit(1)).alias("n")), path, ORIGIN_STREAM, cfg.ingest_name, batch_id, cfg.files_per_batch)
+    return int(seen.get["n"])
+
+
+def _write_raw(spark: SparkSession, cfg: IngestConfig, valid: DataFrame, batch_id: int) -> int:
+    """Raw first, then its ids: a batch that dies in between is replayed and writes both again."""
+    n = _write(spark, cfg, valid, cfg.raw_path, schemas.RAW, batch_id)
+    if cfg.managed:
+        id_index(spark, cfg.raw_path).add(valid.select("event_id"), ORIGIN_STREAM, cfg.ingest_name, batch_id)
+        if (batch_id + 1) % cfg.compact_every == 0:
+            maintain(spark, cfg.raw_path, cfg.rejects_path, fanout=cfg.compact_every)
+    return n
+
+
+def maintain(spark: SparkSession, raw_path: str, rejects_path: str, fanout: int = FANOUT) -> int:
+    """K7: merge small folders of both managed tables and segments of the id index; the number of merges."""
+    tables = [ManagedTable(spark, raw_path, schemas.RAW), ManagedTable(spark, rejects_path, schemas.REJECTS), id_index(spark, raw_path)]
+    return sum(t.compact(fanout) for t in tables)
+
+
 def process_batch(spark: SparkSession, cfg: IngestConfig, batch: DataFrame, batch_id: int) -> dict:
     """One micro-batch; returns the metrics row as a dict (also written to the metrics table)."""
     start = _dt.datetime.now(_dt.timezone.utc)
@@ -61,16 +108,15 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: DataFrame, batc
         if parsed.isEmpty():
             counts = {"total_records": 0, "valid_records": 0, "rejected_records": 0}
         else:
-            hist = history_ids(spark, cfg.raw_path, exclude=layout_filter(ORIGIN_STREAM, cfg.ingest_name, batch_id))
             validated = validate_events(
-                parsed, hist, allowed_types=cfg.allowed_types, allowed_sources=cfg.allowed_sources,
+                parsed, _history(spark, cfg, batch_id), allowed_types=cfg.allowed_types, allowed_sources=cfg.allowed_sources,
                 order_by=cfg.order_by, hot_rows=cfg.hot_rows,
             ).persist()
             try:
-                counts = batch_counts(validated).first().asDict()
                 valid, rejects = split_events(validated)
-                write_batch(valid, cfg.raw_path, ORIGIN_STREAM, cfg.ingest_name, batch_id, cfg.files_per_batch)
-                write_batch(rejects, cfg.rejects_path, ORIGIN_STREAM, cfg.ingest_name, batch_id, cfg.files_per_batch)
+                n_valid = _write_raw(spark, cfg, valid, batch_id)
+                n_rejected = _write(spark, cfg, rejects, cfg.rejects_path, schemas.REJECTS, batch_id)
+                counts = {"total_records": n_valid + n_rejected, "valid_records": n_valid, "rejected_records": n_rejected}
             finally:
                 validated.unpersist()
     end = _dt.datetime.now(_dt.timezone.utc)
