@@ -88,9 +88,14 @@ def event_key(line: Column, ok: Column | None = None) -> Column:
 
 
 def payload_truthy(line: Column) -> Column:
-    """The payload is a non-empty JSON object (a feed-check notion; ``{}`` is bad)."""
-    keys = F.json_object_keys(F.get_json_object(line, "$.payload"))
-    return F.coalesce(F.size(keys) > 0, F.lit(False))
+    """The payload is present and not an empty or zero value (a feed-check notion): a non-empty object,
+    list or text, a number other than 0, or true. ``{}``, ``[]``, ``""``, 0, false and null are bad."""
+    value = F.get_json_object(line, "$.payload")
+    entries = F.coalesce(F.size(F.json_object_keys(value)), F.json_array_length(value))
+    is_text = line.rlike(r'"payload"\s*:\s*"')
+    zero = value.rlike(r"^(false|-?0(\.0*)?([eE][+-]?[0-9]+)?)$")
+    nothing = (value == "") | (~is_text & (F.coalesce(entries == 0, F.lit(False)) | zero))
+    return F.coalesce(~nothing, F.lit(False))
 
 
 def not_in(c: Column, allowed: Iterable[str]) -> Column:

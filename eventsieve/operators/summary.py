@@ -9,7 +9,7 @@ unique last sort key so that ties are deterministic (decision D21).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventsieve import schemas
@@ -173,9 +173,15 @@ def kpis(raw: DataFrame, alerts: DataFrame, rejects: DataFrame, approx: bool = F
     )
 
 
-def counts_by(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
-    """Events per value of a column."""
-    return df.groupBy(F.col(col).alias(name or col)).agg(F.count(F.lit(1)).alias("events"))
+def counts_by(df: DataFrame, col: str, name: str | None = None, where: Column | None = None) -> DataFrame:
+    """Events per value of a column, of the rows for which ``where`` is true.
+
+    The condition is counted, not filtered on: a filter on a derived column is pushed below the
+    projection that derives it (and through a repartitioning), so a line would be parsed twice."""
+    per = df.groupBy(F.col(col).alias(name or col))
+    if where is None:
+        return per.agg(F.count(F.lit(1)).alias("events"))
+    return per.agg(F.count_if(where).alias("events")).filter("events > 0")
 
 
 def most_common(df: DataFrame, col: str) -> DataFrame:
@@ -206,16 +212,14 @@ def top_categories(facts: DataFrame, catalog: DataFrame, k: int = 10, key: str =
 
 
 def event_hours(parsed: DataFrame) -> DataFrame:
-    """hour of day of every parsed line whose event time has the ISO shape."""
+    """hour of day of every line, null unless it parses and its event time has the ISO shape."""
     ts = F.col("data.event_ts")
-    return parsed.filter(F.col("json_ok") & F.coalesce(R.iso_shape(ts), F.lit(False))).select(
-        F.substring(ts, 12, 2).cast("int").alias("hour")
-    )
+    return parsed.select(F.when(R.iso_shape(ts), F.substring(ts, 12, 2).cast("int")).alias("hour"))
 
 
 def hourly_histogram(parsed: DataFrame) -> DataFrame:
-    """Events per hour of day."""
-    return event_hours(parsed).groupBy("hour").agg(F.count(F.lit(1)).alias("events"))
+    """Events per hour of day. Lines without an hour are dropped after counting (see ``counts_by``)."""
+    return event_hours(parsed).groupBy("hour").agg(F.count("hour").alias("events")).filter("events > 0")
 
 
 # Rush hours and off-peak hours of the traffic-shape check.

@@ -18,7 +18,9 @@ from eventsieve.functions import rules as R
 from eventsieve.operators import checks, recovery, summary
 from eventsieve.session import scratch_scope, stored
 from eventsieve.sources.readers import history_ids, read_raw, read_rejects, read_table
+from eventsieve.streaming.ingest import id_index
 from eventsieve.streaming.sinks import write_batch, write_table
+from eventsieve.streaming.tables import ManagedTable
 
 LEDGER = StructType([StructField(c, StringType(), True) for c in ("reject_key", "outcome", "rule_version", "run")])
 # Changes whenever a rule or a repair changes: lines kept in quarantine are then tried again.
@@ -87,12 +89,21 @@ def run_recovery(spark: SparkSession, rejects_path: str, raw_path: str, ledger_p
     # The rows this run wrote before a retry are excluded from its own history and ledger.
     handled = handled.filter(F.col("run") != F.lit(run)) if "run" in handled.columns else handled
     pending = recovery.pending_rejects(rejects, handled, rule_version)
-    raw_ids = history_ids(spark, raw_path, exclude={"origin": ORIGIN_RECOVERY, "ingest": run, "batch_id": "0"})
+    managed = ManagedTable.at(spark, raw_path)
+    if managed:
+        def raw_ids(keys: DataFrame) -> DataFrame:
+            return id_index(spark, raw_path).known(keys, "_hid", exclude=(ORIGIN_RECOVERY, run, 0))
+    else:
+        raw_ids = history_ids(spark, raw_path, exclude={"origin": ORIGIN_RECOVERY, "ingest": run, "batch_id": "0"})
     with scratch_scope(spark):
         pending = stored(pending.select("json_string", "event_type", "source", "entity_id"), "pending")  # read by every step below
         recovered = stored(recovery.recover(pending, raw_ids, source_map=source_map, allowed_types=allowed_types,
                                             allowed_sources=allowed_sources), "recovered")
         n = recovered.count()
-        write_batch(recovered.select(*schemas.ENVELOPE_FIELDS), raw_path, ORIGIN_RECOVERY, run, 0)
+        if managed:
+            ManagedTable(spark, raw_path, schemas.RAW).write(recovered, ORIGIN_RECOVERY, run, 0)
+            id_index(spark, raw_path).add(recovered.select("event_id"), ORIGIN_RECOVERY, run, 0)
+        else:
+            write_batch(recovered.select(*schemas.ENVELOPE_FIELDS), raw_path, ORIGIN_RECOVERY, run, 0)
         write_table(recovery.processed_keys(pending, recovered, rule_version), f"{ledger_path}/run={run}")
     return n

@@ -436,3 +436,7 @@ w AS (SELECT time_bucket(INTERVAL '15 minutes', t) - to_minutes(CAST(15 * r.k AS
 SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL '1 hour', '%Y-%m-%d %H:%M:%S') AS window_end,
   count(*) AS events FROM w WHERE s + INTERVAL '1 hour' <= (SELECT max(t) FROM t) - INTERVAL '2 hours' GROUP BY s""",
 }
+
+# Other ways to the same rows.
+ORACLE_SQL["stream_managed_batches"] = ORACLE_SQL["stream_two_batches"]
+ORACLE_SQL["compacted_raw"] = ORACLE_SQL["split_valid"]

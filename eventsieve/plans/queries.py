@@ -253,8 +253,7 @@ def q_counts_by_type(spark, d):
 
 
 def q_counts_by_source(spark, d):
-    p = Q.parse_events(fx.raw_lines(spark, d)).filter(F.col("json_ok"))
-    return S.counts_by(p, "data.source", "source")
+    return S.counts_by(Q.parse_events(fx.raw_lines(spark, d)), "data.source", "source", where=F.col("json_ok"))
 
 
 def q_counts_by_hour(spark, d):
@@ -279,7 +278,7 @@ def q_stream_ingest(spark, d):
     return Q.flatten_raw(read_raw(spark, cfg.raw_path))
 
 
-def _ingest(spark, d, name, boundary=False):
+def _ingest(spark, d, name, boundary=False, managed=False):
     """Run the feed through the streaming ingest; with ``boundary`` in two runs of one query on the
     same checkpoint, the second one with the lines after half of the sequence."""
     from eventsieve.sources.readers import read_lines_stream
@@ -288,7 +287,7 @@ def _ingest(spark, d, name, boundary=False):
     base = scratch_path(spark, name)
     feed = fx.raw_lines(spark, d)
     cfg = IngestConfig(raw_path=f"{base}/raw", rejects_path=f"{base}/rejects", metrics_path=f"{base}/metrics",
-                       ingest_name="01", **RULES)
+                       ingest_name="01", managed=managed, **RULES)
     half = feed.agg(F.floor(F.max("seq") / 2)).first()[0] if boundary else None
     parts = [feed.filter(F.col("seq") <= half), feed.filter(F.col("seq") > half)] if boundary else [feed]
     for part in parts:
@@ -304,6 +303,26 @@ def q_stream_two_batches(spark, d):
     return Q.flatten_raw(read_raw(spark, _ingest(spark, d, "stream_two_batches", True).raw_path))
 
 
+def q_stream_managed_batches(spark, d):
+    """K2 + S5 + ST5: as ``stream_two_batches`` over managed tables; the history is the id index."""
+    from eventsieve.sources.readers import read_raw
+
+    return Q.flatten_raw(read_raw(spark, _ingest(spark, d, "stream_managed", True, managed=True).raw_path))
+
+
+def q_compacted_raw(spark, d):
+    """K7: raw written as nine batches of a managed table, merged by threes, read back."""
+    from eventsieve.streaming.tables import ManagedTable
+
+    rows = stored(stored_split(spark, d)[0].withColumn("_batch", F.pmod(F.xxhash64("event_id"), F.lit(9))), "nine-batches")
+    t = ManagedTable(spark, f"{scratch_path(spark, 'compacted')}/raw", schemas.RAW)
+    for k in range(9):
+        t.write(rows.filter(F.col("_batch") == k), "stream", "q", k)
+    t.compact(3)
+    t.vacuum(1)
+    return Q.flatten_raw(t.read())
+
+
 def q_stream_rejects(spark, d):
     """K3 + ST6: the rejects side of the streaming ingest, read back."""
     from eventsieve.sources.readers import read_rejects
@@ -515,6 +534,8 @@ QUERIES: dict[str, Query] = {
     "history_two_ingests": q_history_two_ingests,
     "stream_two_batches": q_stream_two_batches,
     "stream_rejects": q_stream_rejects,
+    "stream_managed_batches": q_stream_managed_batches,
+    "compacted_raw": q_compacted_raw,
     "stock_ledger_reference": q_stock_ledger_reference,
     "unknown_skus_reference": q_unknown_skus_reference,
     "catalog_csv": q_catalog_csv,

@@ -156,3 +156,16 @@ def test_micro_batches_match_bruteforce(spark, scratch):
     raw_ids = [r.event_id for r in read_raw(spark, cfg.raw_path).select("event_id").collect()]
     assert sorted(raw_ids) == sorted(written) and len(raw_ids) == len(set(raw_ids))
     assert read_rejects(spark, cfg.rejects_path).count() == rejected
+
+
+def test_payload_of_any_json_kind_counts_as_in_python(spark):
+    """A10: present and truthy, as the feed check reads it."""
+    import json
+
+    from eventsieve.functions.rules import payload_truthy
+
+    values = ['{}', '{"a":0}', '[]', '[0]', '[[]]', '""', '"x"', '"0"', '"false"', '"[]"', '"{}"', "0", "0.0", "-0", "0e3", "1", "-2.5", "0.01", "true", "false", "null"]
+    lines = ['{"payload":%s}' % v for v in values] + ['{"payload" : %s, "a":1}' % v for v in values] + ['{"a":1}']
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r.line: r.t for r in df.select("line", payload_truthy(df.line).alias("t")).collect()}
+    assert got == {x: bool(json.loads(x).get("payload")) for x in lines}

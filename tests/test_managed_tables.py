@@ -151,3 +151,19 @@ def test_stream_over_managed_tables_equals_folders(spark, scratch):
         I.run_until_done(I.start_ingest(stream, c, f"{scratch}/{managed}/ckpt", available_now=True), 600)
         got[managed] = (ids_of(spark, c), sorted((r.json_string, r.rejection_reason) for r in read_rejects(spark, c.rejects_path).collect()))
     assert got[True] == got[False] and len(got[True][0]) > 800
+
+
+def test_recovery_writes_to_managed_tables_once(spark, scratch):
+    from eventsieve.plans.jobs import run_recovery
+
+    c = cfg(scratch)
+    lines = [(1, 1, ROW % "a"), (2, 2, (ROW % "b").replace('"app"', '"external-api"')), (3, 3, (ROW % "a").replace('"app"', '"external-api"'))]
+    I.process_batch(spark, c, lines_df(spark, lines[:2]), 0)
+    I.process_batch(spark, c, lines_df(spark, lines[2:]), 1)
+    heal = {**RULES, "source_map": fx.FIXTURE_SOURCE_REPAIR}
+    assert run_recovery(spark, c.rejects_path, c.raw_path, f"{scratch}/ledger", "r1", **heal) == 1  # a is known
+    assert run_recovery(spark, c.rejects_path, c.raw_path, f"{scratch}/ledger", "r1", **heal) == 1  # the run again
+    assert run_recovery(spark, c.rejects_path, c.raw_path, f"{scratch}/ledger", "r2", **heal) == 0
+    assert ids_of(spark, c) == ["a", "b"]
+    I.process_batch(spark, c, batch(spark, ["b"]), 2)  # a recovered id is history
+    assert ids_of(spark, c) == ["a", "b"]
