@@ -40,5 +40,5 @@ def test_every_contract_query_is_registered():
     import __spark_entry__ as E
 
     names = [n for n in E.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n[2].isdigit()) == list(range(1, 14))
     assert "pipeline" in E.queries()
