@@ -1,7 +1,9 @@
 """The stages one by one on the driver's smallest tables, each against a plain reading of its task."""
 
 import corpus_pipeline
+import pytest
 from conftest import SF001
+from frames import none_of, odd_docs, prose
 from test_llm_ngram_join import slow
 
 from eventsieve.llm import pieces, quality, secrets
@@ -36,6 +38,24 @@ def test_stages(spark):
         assert r["round_trip"] and list(r["ids"]) == machine.encode(text[r["doc_id"]])
 
 
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_odd_and_empty_tables(spark, scratch, empty):
+    """Nulls in every column, empty and very long texts, repeated rows, clashing columns; no rows at all."""
+    more = [(100 + i, prose(i, 90), "en", "ab"[i % 2], 1) for i in range(12)] + [(None, prose(3, 90), None, None, None)]
+    docs = none_of(spark) if empty else odd_docs(spark, more)
+    labels = [] if empty else [(100, 1, 0), (None, 0, 0), (101, None, None), (5, 1, 1)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = staged(stage(spark, docs, scratch), "t")
+        assert docs.columns == columns, name
+        kept = {r["doc_id"] for r in docs.collect()}
+        assert empty or {100, 111} <= kept or name == "source mix", name
+        assert not kept & {2, 3, 4, 7, 8}, name  # too short or without a text
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, scratch)
+    assert last.count() == docs.count() and (empty or last.filter("NOT round_trip").isEmpty())
+
+
 def test_every_contract_query_is_registered():
     import __spark_entry__ as E
 
