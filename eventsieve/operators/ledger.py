@@ -5,7 +5,7 @@ The running stock of a SKU is a prefix sum in time order. A plain
 task; one SKU may hold a third of all rows. ``running_sum`` therefore splits
 each key's time line into fixed time chunks:
 
-1. hot chunks are cut into slices by time and tie-breaker, after one count per chunk;
+1. hot chunks are cut at sampled splitters (as in a sample sort), after one count per chunk;
    chunk totals: ``groupBy(key, chunk).sum`` (partial aggregation, tiny output);
 2. chunk offsets: prefix sum of the totals per key (one row per chunk, so even a
    hot key has only ``span / chunk`` rows here);
@@ -28,34 +28,46 @@ from eventsieve.operators.keys import DEFAULT_BROADCAST_ROWS, HOT_KEY_ROWS, HOT_
 from eventsieve.session import stored
 
 DEFAULT_CHUNK_SECONDS = 3600
-# How often a group that is still hot is cut again.
-SLICE_LEVELS = 3
+# Sampled rows for each piece that a hot chunk is cut into.
+SAMPLES_PER_PIECE = 32
 
 
-def _hot_groups(rows: DataFrame, hot_rows: int, name: str) -> DataFrame:
+def _hot_groups(rows: DataFrame, hot_rows: int) -> DataFrame:
     """Groups of more than ``hot_rows`` rows, and more than a HOT_KEYS-th of all rows in such
-    groups (so there are fewer than HOT_KEYS), with their row count and ranges of time and tie."""
-    groups = rows.groupBy("_group").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_us0"), F.max("_us").alias("_us1"),
-        F.min("_tie").alias("_tie0"), F.max("_tie").alias("_tie1"))
-    groups = stored(groups.filter(F.col("_n") > hot_rows), name)
+    groups (so there are fewer than HOT_KEYS), with the rows a piece of them should have and
+    the number of pieces."""
+    groups = rows.groupBy("_group").agg(F.count(F.lit(1)).alias("_n"))
+    groups = stored(groups.filter(F.col("_n") > hot_rows), "ledger-hot")
     share = F.floor(groups.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n")).scalar() / HOT_KEYS)
-    return groups.filter(F.col("_n") > share)
-
-
-def _sliced(rows: DataFrame, groups: DataFrame, hot_rows: int) -> DataFrame:
-    """Cuts the rows of the given groups into slices: by time (``_us``) or, where all rows have one
-    time, by ``_tie``. Slices are contiguous in (time, tie), so the order of a sum is kept."""
-    rows = rows.join(F.broadcast(groups), "_group", "left")
-
-    def part(value: str, low: str, high: str) -> Column:
-        pieces = F.ceil(F.col("_n") / F.lit(hot_rows)).cast("double")
-        return F.floor((F.col(value) - F.col(low)) / (F.col(high) - F.col(low) + 1).cast("double") * pieces).cast("long")
-
-    by = F.when(F.col("_us1") > F.col("_us0"), part("_us", "_us0", "_us1")).otherwise(part("_tie", "_tie0", "_tie1"))
-    path = F.concat("_group.p", F.array(F.coalesce(by, F.lit(0).cast("long"))))
-    rows = rows.withColumn("_group", F.struct(F.col("_group.k").alias("k"), path.alias("p")))
-    return rows.drop("_n", "_us0", "_us1", "_tie0", "_tie1")
+    piece = F.greatest(F.lit(hot_rows).cast("long"), share)
+    return groups.filter(F.col("_n") > share).select("_group", piece.alias("_piece"),
+                                                     F.ceil(F.col("_n") / piece).cast("long").alias("_pieces"))
+
+
+def _splitters(rows: DataFrame, hot: DataFrame, spot: Column) -> DataFrame:
+    """Per hot group the places at which it is cut: quantiles of about SAMPLES_PER_PIECE sampled rows a
+    piece. Places are ``spot`` structs of any type; a group has fewer than HOT_KEYS of them."""
+    drawn = F.pmod(F.xxhash64("_ledger_row"), F.lit(2**31)) < F.lit(float(SAMPLES_PER_PIECE * 2**31)) / F.col("_piece")
+    sample = rows.select("_group", "_ledger_row", spot.alias("_spot")).join(F.broadcast(hot), "_group").filter(drawn)
+    by_group = Window.partitionBy("_group")
+    rank = F.row_number().over(by_group.orderBy("_spot"))
+    ranked = sample.select("_group", "_spot", "_pieces", rank.alias("_r"), F.count(F.lit(1)).over(by_group).alias("_c"))
+    cut = F.floor(F.col("_r") * F.col("_pieces") / F.col("_c")) > F.floor((F.col("_r") - 1) * F.col("_pieces") / F.col("_c"))
+    return ranked.filter(cut & (F.col("_r") < F.col("_c"))).groupBy("_group").agg(
+        F.sort_array(F.collect_list("_spot")).alias("_cuts"))
+
+
+def _cut(rows: DataFrame, hot: DataFrame, ts: str, tie: str) -> DataFrame:
+    """Deals the rows of hot groups to pieces that are contiguous in ``(ts, tie, _row)``, so the order
+    of a sum is kept. A row's piece is the number of splitters up to it, found by bisection."""
+    spot = F.struct(F.col(ts).alias("t"), F.col(tie).alias("i"), F.col("_ledger_row").alias("r"))
+    cuts = stored(_splitters(rows, hot, spot), "ledger-splitters")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(HOT_KEYS.bit_length() + 1))])
+    rows = rows.join(F.broadcast(cuts), "_group", "left").withColumn("_place", spot)
+    piece = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get("_cuts", at + step - 1) <= F.col("_place"), at + step).otherwise(at))
+    path = F.concat("_group.p", F.array(F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(piece).cast("long")))
+    return rows.withColumn("_group", F.struct(F.col("_group.k").alias("k"), path.alias("p"))).drop("_cuts", "_place")
 
 
 def running_sum(df: DataFrame, key: str, ts: str, tie: str, value: str, out: str,
@@ -63,33 +75,32 @@ def running_sum(df: DataFrame, key: str, ts: str, tie: str, value: str, out: str
     """Inclusive running sum of ``value`` per ``key`` ordered by ``(ts, tie)``, nulls first.
 
     Rows fall into time chunks of ``chunk_seconds`` (rows without a time form a chunk of their
-    own). A chunk of one key with more than ``hot_rows`` rows is cut into slices, and what is still
-    hot is cut again up to SLICE_LEVELS times: by time down to microseconds, and rows of one time by
-    ``tie`` where it is a number. So neither a busy hour nor a burst within one microsecond
-    lands in one task (rows of one microsecond with a ``tie`` that isn't a number stay together).
+    own). A chunk of one key with more than ``hot_rows`` rows is cut into pieces of about that many
+    at sampled splitters of ``(ts, tie, row number)``, of whatever type ``tie`` is. So neither a busy
+    hour, a burst within one microsecond, rows without a time nor copies of one row land in one
+    task. Rows equal in ``(ts, tie)`` are summed in the order of their numbers.
 
     The join with the offsets and the final window both use ``_group = struct(key, path)``: a
     struct is never null (so rows without a key or a time still meet their offsets) and one hash
     partitioning serves both, so the rows are shuffled once.
     """
     us = F.unix_micros(F.col(ts).cast("timestamp"))
-    number = dict(df.dtypes)[tie] in ("bigint", "int", "smallint", "tinyint")
     chunk = F.coalesce(F.floor(us / F.lit(chunk_seconds * 1_000_000)), F.lit(-(2**62)))
-    rows = df.withColumn("_us", F.coalesce(us, F.lit(0))).withColumn(
-        "_tie", F.coalesce(F.col(tie).cast("long"), F.lit(-(2**53))) if number else F.lit(0).cast("long"))
-    rows = rows.withColumn("_group", F.struct(F.col(key).alias("k"), F.array(chunk).alias("p")))
-    for level in range(SLICE_LEVELS):
-        hot = _hot_groups(rows, hot_rows, f"ledger-hot-{level}")
-        if hot.isEmpty():
-            break
-        rows = _sliced(rows, hot, hot_rows)
+    rows = df.withColumn("_group", F.struct(F.col(key).alias("k"), F.array(chunk).alias("p")))
+    hot = _hot_groups(rows, hot_rows)
+    order = [ts, tie]
+    if not hot.isEmpty():
+        # Row numbers are stored, so that every pass and retry cuts the same rows.
+        rows = stored(rows.withColumn("_ledger_row", F.monotonically_increasing_id()), "ledger-rows")
+        rows = _cut(rows, hot, ts, tie)
+        order.append("_ledger_row")
     totals = rows.groupBy("_group").agg(F.sum(value).alias("_sum"))
     before = Window.partitionBy("_group.k").orderBy("_group.p").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_group", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_group").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    within = Window.partitionBy("_group").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     joined = rows.join(offsets, "_group", "left")
     return joined.withColumn(out, (F.coalesce(F.col("_offset"), F.lit(0)) + F.sum(value).over(within)).cast("long")) \
-        .drop("_us", "_tie", "_offset", "_group")
+        .drop("_ledger_row", "_offset", "_group")
 
 
 def stock_ledger(moves: DataFrame, starting: DataFrame | None = None, *,

@@ -119,7 +119,7 @@ def test_scratch_folders_go_with_their_scope(spark):
 def test_ledger_of_one_busy_item_is_right_and_spread(spark, times):
     from pyspark.sql import Window
 
-    from eventsieve.operators.ledger import SLICE_LEVELS, _hot_groups, _sliced, running_sum  # noqa: F401
+    from eventsieve.operators.ledger import running_sum
 
     ts = {"null": F.lit(None).cast("timestamp_ntz"), "one second": F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_interval(0,0,0,0,0,0,(id % 999983) / 1000000.0)"),
           "one microsecond": F.expr("timestamp_ntz'2026-01-01 00:00:00'"), "hour": F.expr("timestamp_ntz'2026-01-01 00:00:00' + make_interval(0,0,0,0,0,0,id % 3600)")}[times]
@@ -135,6 +135,29 @@ def test_ledger_of_one_busy_item_is_right_and_spread(spark, times):
     assert plan.agg(F.max("count")).first()[0] < 4000
 
 
+@pytest.mark.parametrize("ids", ["text", "one text", "null"])
+def test_ledger_is_cut_for_ids_of_any_type(spark, ids):
+    from eventsieve.operators.ledger import running_sum
+
+    tie = {"text": F.format_string("e-%05d", (F.col("id") * 7919) % 4001), "one text": F.lit("e"),
+           "null": F.lit(None).cast("string")}[ids]
+    df = stored(spark.range(4000).select(F.lit("hot").alias("sku"), F.lit(None).cast("timestamp_ntz").alias("ts"),
+                                         tie.alias("tie"), F.lit(1).alias("v")), "t")
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 200)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = running_sum(df, "sku", "ts", "tie", "v", "run", hot_rows=100)
+        rows = got.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert sorted(r["run"] for r in rows) == list(range(1, 4001))
+    if ids == "text":
+        assert [r["tie"] for r in sorted(rows, key=lambda r: r["run"])] == sorted(r["tie"] for r in rows)
+    assert len({r["task"] for r in rows}) >= 20
+
+
 def test_rejects_that_cannot_be_recovered_wait_for_new_rules(spark, scratch):
     from eventsieve.plans.jobs import LEDGER, run_recovery
 
