@@ -203,6 +203,12 @@ def top_categories(facts: DataFrame, catalog: DataFrame, k: int = 10, key: str =
     SKU; then per-SKU counts are summed per category.
     """
     per_sku = facts.groupBy(F.col(key).alias("sku_id")).agg(F.count(F.lit(1)).alias("n"))
+    return ranked_categories(per_sku, catalog, k, broadcast_rows)
+
+
+def ranked_categories(per_sku: DataFrame, catalog: DataFrame, k: int = 10,
+                      broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``top_categories`` of facts that are counted per SKU already: ``(sku_id, n)``."""
     cat = sized_broadcast(catalog.select("sku_id", "category"), broadcast_rows)
     joined = per_sku.join(cat, "sku_id", "left")
     per_cat = joined.groupBy(F.coalesce(F.col("category"), F.lit(UNKNOWN_CATEGORY)).alias("category")).agg(

@@ -7,6 +7,7 @@ folder and recovery skips rejects already handled.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
-from eventsieve.operators import checks, recovery, summary
+from eventsieve.operators import checks, recovery, states, summary
 from eventsieve.session import scratch_scope, stored
 from eventsieve.sources.readers import history_ids, read_raw, read_rejects, read_table
 from eventsieve.streaming.ingest import id_index
@@ -28,28 +29,44 @@ RULE_VERSION = "1"
 COUNTS = StructType([StructField("kind", StringType()), StructField("label", StringType()), StructField("events", LongType())])
 KPIS = StructType([StructField(c, LongType()) for c in ("total_transactions", "active_skus", "low_stock_events", "quarantined_events")])
 CATEGORIES = StructType([StructField("category", StringType()), StructField("transactions", LongType())])
+ACTIVE = StructType([StructField("day", StringType()), StructField("active_skus", LongType())])
 INSIGHTS = StructType([StructField("kind", StringType()), StructField("message", StringType())])
 ORIGIN_RECOVERY = "recovery"
 
 
+def _now() -> _dt.datetime:
+    return _dt.datetime.now(_dt.timezone.utc)
+
+
+def _record(spark: SparkSession, job: str, path: str, start: _dt.datetime, **counts: int) -> None:
+    """Append the run's record, with its duration, to the records under ``path``."""
+    ms = int((_now() - start).total_seconds() * 1000)
+    checks.run_record(spark, job, duration_ms=ms, **counts).write.mode("append").json(path)
+
+
 def daily_summary(spark: SparkSession, raw_path: str, curated_path: str,
                   threshold: int = R.LOW_STOCK_THRESHOLD, files: int | None = None) -> DataFrame:
-    """K4 + K5 + G1: write ``top_items`` and ``low_stock_alerts``, then gate them."""
+    """K4 + K5 + G1: write ``top_items`` and ``low_stock_alerts``, then gate them. The run is recorded
+    in ``daily_summary_runs`` (G3)."""
+    start = _now()
     raw = read_raw(spark, raw_path)
     top = f"{curated_path}/daily_summary/top_items"
     low = f"{curated_path}/daily_summary/low_stock_alerts"
     write_table(summary.top_items(raw), top, files)
     write_table(summary.low_stock_alerts(raw, threshold), low, files)
-    return checks.output_gate(spark, {
+    gate = checks.output_gate(spark, {
         "top_items": (top, schemas.TOP_ITEMS),
         "low_stock_alerts": (low, schemas.LOW_STOCK_ALERTS),
     })
+    _record(spark, "daily_summary", f"{curated_path}/daily_summary_runs", start, **{r["output"]: r["row_count"] for r in gate.collect()})
+    return gate
 
 
 def curated_tables(spark: SparkSession, raw_path: str, rejects_path: str, catalog: DataFrame, curated_path: str,
                    threshold: int = R.LOW_STOCK_THRESHOLD, files: int | None = None) -> DataFrame:
     """A3-A9, A13-A15, F25 as tables: counts by type, source and hour, KPIs, top categories and
     insights, written under ``curated_path`` and gated. The run is recorded in ``runs`` (G3)."""
+    start = _now()
     raw, rejects = read_raw(spark, raw_path), read_rejects(spark, rejects_path)
     alerts = summary.low_stock_alerts(raw, threshold)
     hours = summary.counts_per_window(raw, "1 hour")
@@ -67,7 +84,33 @@ def curated_tables(spark: SparkSession, raw_path: str, rejects_path: str, catalo
     for name, (df, _) in tables.items():
         write_table(df, f"{curated_path}/{name}", files)
     gate = checks.output_gate(spark, {n: (f"{curated_path}/{n}", schema) for n, (_, schema) in tables.items()})
-    checks.run_record(spark, "curated", **{r["output"]: r["row_count"] for r in gate.collect()}).write.mode("append").json(f"{curated_path}/runs")
+    _record(spark, "curated", f"{curated_path}/runs", start, **{r["output"]: r["row_count"] for r in gate.collect()})
+    return gate
+
+
+def incremental_summary(spark: SparkSession, raw_path: str, rejects_path: str, catalog: DataFrame, curated_path: str,
+                        threshold: int = R.LOW_STOCK_THRESHOLD, files: int | None = None) -> DataFrame:
+    """A3-A6, A13-A15 as ``curated_tables`` writes them, for a managed raw table: only folders of raw
+    that no earlier run has seen are read. Adds ``active_by_day`` (A4 by day, estimated). Managed
+    rejects are counted from their log."""
+    start = _now()
+    held = states.SummaryStates(spark, raw_path)
+    rows_read = held.refresh()
+    if ManagedTable.at(spark, rejects_path):
+        quarantined = sum(p.rows for p in ManagedTable(spark, rejects_path, schemas.REJECTS).log.read()[1])
+    else:
+        quarantined = read_rejects(spark, rejects_path).count()
+    per_sku = held.counts("entity").select(F.col("label").alias("sku_id"), F.col("events").alias("n"))
+    tables = {
+        "counts": (states.count_rows(held.counts()), COUNTS),
+        "kpis": (states.kpis_of(held.counts(), quarantined, threshold), KPIS),
+        "categories": (summary.ranked_categories(per_sku, catalog), CATEGORIES),
+        "active_by_day": (states.active_by_day(held.sketches()), ACTIVE),
+    }
+    for name, (df, _) in tables.items():
+        write_table(df, f"{curated_path}/{name}", files)
+    gate = checks.output_gate(spark, {n: (f"{curated_path}/{n}", schema) for n, (_, schema) in tables.items()})
+    _record(spark, "incremental", f"{curated_path}/runs", start, rows_read=rows_read, **{r["output"]: r["row_count"] for r in gate.collect()})
     return gate
 
 
@@ -82,8 +125,10 @@ def run_recovery(spark: SparkSession, rejects_path: str, raw_path: str, ledger_p
     can't be recovered is not healed again until the rules change. Rerunning a run name
     overwrites its own folders; a later run finds no pending reject that was already
     processed (ledger), and even without the ledger the
-    recovered ids are in raw, so revalidation rejects them (D11).
+    recovered ids are in raw, so revalidation rejects them (D11). The run is recorded beside the
+    ledger, in ``<ledger_path>_runs`` (G3).
     """
+    start = _now()
     rejects = read_rejects(spark, rejects_path)
     handled = read_table(spark, ledger_path, LEDGER)
     # The rows this run wrote before a retry are excluded from its own history and ledger.
@@ -106,4 +151,5 @@ def run_recovery(spark: SparkSession, rejects_path: str, raw_path: str, ledger_p
         else:
             write_batch(recovered.select(*schemas.ENVELOPE_FIELDS), raw_path, ORIGIN_RECOVERY, run, 0)
         write_table(recovery.processed_keys(pending, recovered, rule_version), f"{ledger_path}/run={run}")
+        _record(spark, "recovery", f"{ledger_path.rstrip('/')}_runs", start, pending=pending.count(), recovered=n)
     return n

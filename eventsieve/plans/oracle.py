@@ -440,3 +440,8 @@ SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(s + INTERVAL '
 # Other ways to the same rows.
 ORACLE_SQL["stream_managed_batches"] = ORACLE_SQL["stream_two_batches"]
 ORACLE_SQL["compacted_raw"] = ORACLE_SQL["split_valid"]
+ORACLE_SQL["incremental_counts"] = ORACLE_SQL["curated_counts"]
+ORACLE_SQL["incremental_kpis"] = ORACLE_SQL["curated_kpis"]
+ORACLE_SQL["active_skus_by_day"] = with_(VALID) + """, t AS (SELECT try_strptime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS t, entity_id FROM valid)
+SELECT strftime(t, '%Y-%m-%d') AS day, count(DISTINCT entity_id) AS active_skus, TRUE AS estimate_is_close
+FROM t WHERE t IS NOT NULL AND entity_id IS NOT NULL GROUP BY 1"""

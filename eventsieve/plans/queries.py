@@ -479,6 +479,50 @@ def q_curated_kpis(spark, d):
     return _curated(spark, d, "kpis")
 
 
+def _incremental(spark, d):
+    """Two incremental summary runs over a managed raw table: after four of nine batches, and after all
+    nine and a merge by threes."""
+    from eventsieve.plans.jobs import incremental_summary
+    from eventsieve.streaming.tables import ManagedTable
+
+    base = scratch_path(spark, "incremental")
+    valid, rej = stored_split(spark, d)
+    rows = stored(valid.withColumn("_batch", F.pmod(F.xxhash64("event_id"), F.lit(9))), "nine-batches")
+    t = ManagedTable(spark, f"{base}/raw", schemas.RAW)
+    ManagedTable(spark, f"{base}/rejects", schemas.REJECTS).write(rej, "stream", "q", 0)
+    catalog = fx.catalog(spark, d)
+    for k in range(9):
+        t.write(rows.filter(F.col("_batch") == k), "stream", "q", k)
+        if k == 3:
+            t.compact(3)
+            incremental_summary(spark, t.path, f"{base}/rejects", catalog, f"{base}/curated", 9)
+    t.compact(3)
+    incremental_summary(spark, t.path, f"{base}/rejects", catalog, f"{base}/curated", 9)
+    return base, t
+
+
+def q_incremental_counts(spark, d):
+    """A13-A15 from mergeable states; the second run reads new folders only."""
+    return spark.read.parquet(f"{_incremental(spark, d)[0]}/curated/counts")
+
+
+def q_incremental_kpis(spark, d):
+    """A3 + A4 from mergeable states."""
+    return spark.read.parquet(f"{_incremental(spark, d)[0]}/curated/kpis")
+
+
+def q_active_skus_by_day(spark, d):
+    """A4 by day: exact, and whether the estimate from hourly sketches is within four standard errors of it."""
+    from eventsieve.operators.states import SKETCH_BITS, active_by_day_exact
+
+    base, t = _incremental(spark, d)
+    error = 4 * 1.04 / 2 ** (SKETCH_BITS / 2)
+    estimate = spark.read.parquet(f"{base}/curated/active_by_day").withColumnRenamed("active_skus", "estimate")
+    close = F.abs(F.col("estimate") - F.col("active_skus")) <= F.ceil(F.col("active_skus") * error)
+    both = active_by_day_exact(t.read()).join(estimate, "day", "full")
+    return both.select("day", "active_skus", F.coalesce(close, F.lit(False)).alias("estimate_is_close"))
+
+
 def q_insights_fallback(spark, d):
     """F25 without any low-stock event (levels below 0): the all-clear row."""
     return _curated(spark, d, "insights", 0)
@@ -546,5 +590,8 @@ QUERIES: dict[str, Query] = {
     "recover_second_run": q_recover_second_run,
     "curated_counts": q_curated_counts,
     "curated_kpis": q_curated_kpis,
+    "incremental_counts": q_incremental_counts,
+    "incremental_kpis": q_incremental_kpis,
+    "active_skus_by_day": q_active_skus_by_day,
     "insights_fallback": q_insights_fallback,
 }

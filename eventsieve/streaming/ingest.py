@@ -37,6 +37,7 @@ from eventsieve.functions import rules as R
 from eventsieve.operators.id_index import IdIndex
 from eventsieve.operators.keys import HOT_KEY_ROWS
 from eventsieve.operators.quality import DEFAULT_ORDER, numbered, parse_events, split_events, validate_events
+from eventsieve.operators.states import SummaryStates
 from eventsieve.session import scratch_scope
 from eventsieve.sources.readers import history_ids
 from eventsieve.streaming.sinks import batch_folder, layout_filter, write_batch
@@ -95,7 +96,12 @@ def _write_raw(spark: SparkSession, cfg: IngestConfig, valid: DataFrame, batch_i
 
 
 def maintain(spark: SparkSession, raw_path: str, rejects_path: str, fanout: int = FANOUT) -> int:
-    """K7: merge small folders of both managed tables and segments of the id index; the number of merges."""
+    """K7: merge small folders of both managed tables and segments of the id index; the number of merges.
+
+    If the table has summary states, these are brought up first, so that those of merged folders are sums."""
+    states = SummaryStates(spark, raw_path)
+    if states.log.versions():
+        states.refresh()
     tables = [ManagedTable(spark, raw_path, schemas.RAW), ManagedTable(spark, rejects_path, schemas.REJECTS), id_index(spark, raw_path)]
     return sum(t.compact(fanout) for t in tables)
 
