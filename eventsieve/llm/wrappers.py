@@ -7,7 +7,8 @@ slots, parts that only some pages have become optional, and a group that repeats
 stands alone in another becomes a repeated group. The result is the host's wrapper.
 
 Every page is then aligned with its host's wrapper, which says of each part whether it is main
-text. A text is main text if it lies in the article; in a page without an article, if
+text. A text is main text if it lies in the article and isn't the template's: the same text in
+this place in several sampled pages. In a page without an article it is one if
 it is a slot of the wrapper outside menus, headers, footers, sidebars, notices, adverts, forms and comments. Parts
 that the wrapper doesn't have, or has from one page alone, are judged by their own place in the page.
 
@@ -32,8 +33,11 @@ from .common import small_batches, staged
 
 #: Different pages per host that a wrapper is inferred from, and the longest group that is folded.
 PAGES_PER_HOST, GROUP = 12, 6
-#: Parts that the pages of every host are dealt to in joins by host, so that no host lands in one task.
-SALTS = 16
+#: Sampled pages that a text must be in to be the template's, and the share of common text from
+#: which two pages count as copies (a template text is the smaller part of an article).
+CONSTANT_PAGES, COPY = 3, 0.5
+#: A host with more pages than this, and more than a HOT_HOSTS-th of all pages, is dealt to parts of that size.
+HOT_PAGES, HOT_HOSTS = 10_000, 100_000
 
 #: HTML element names by their role, and words that mark boilerplate in class, id or role.
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
@@ -138,11 +142,19 @@ def page_stream(html: str | None) -> list[tuple[str, str | None]]:
 class Part:
     """One part of a folded stream or wrapper: a tag, a text or a repeated group."""
 
-    __slots__ = ("shape", "text", "slot", "optional", "body", "where", "pages")
+    __slots__ = ("shape", "text", "slot", "optional", "body", "where", "seen")
 
-    def __init__(self, shape, text=None, slot=False, optional=False, body=None, where=(), pages=frozenset()):
+    def __init__(self, shape, text=None, slot=False, optional=False, body=None, where=(), seen=None):
         self.shape, self.text, self.slot, self.optional, self.body, self.where = shape, text, slot, optional, body, where
-        self.pages = pages  # the sampled pages that a leaf was seen in
+        self.seen = seen or {}  # the texts of a leaf, each with the sampled pages it was seen in
+
+    def pages(self) -> frozenset[int]:
+        return frozenset().union(*self.seen.values())
+
+    def constants(self) -> list[str]:
+        """Texts of a leaf that belong to the template: seen in CONSTANT_PAGES pages and in half of the leaf's."""
+        least = max(CONSTANT_PAGES, len(self.pages()) / 2)
+        return sorted(t for t, pages in self.seen.items() if t is not None and len(pages) >= least)
 
     def leaves(self) -> Iterator[Part]:
         for b in self.body or ():
@@ -154,7 +166,8 @@ class Part:
         """This part where another one of the same shape stands in the other stream."""
         body = [a.joined(b) for a, b in zip(self.body, other.body)] if self.body else None
         return Part(self.shape, self.text, self.slot or other.slot or self.text != other.text,
-                    self.optional or other.optional, body, self.where + other.where, self.pages | other.pages)
+                    self.optional or other.optional, body, self.where + other.where,
+                    {t: self.seen.get(t, frozenset()) | other.seen.get(t, frozenset()) for t in {**self.seen, **other.seen}})
 
 
 def _repeated(body: list[Part]) -> Part:
@@ -201,7 +214,7 @@ def _groups(parts: list[Part]) -> list[list[str]]:
 
 
 def folded(stream: list[tuple[str, str | None]], page: int = 0) -> list[Part]:
-    return fold([Part(s, t, where=(i,), pages=frozenset((page,))) for i, (s, t) in enumerate(stream)])
+    return fold([Part(s, t, where=(i,), seen={t: frozenset((page,))}) for i, (s, t) in enumerate(stream)])
 
 
 def aligned(wrapper: list[Part], page: list[Part]) -> list[Part]:
@@ -219,19 +232,34 @@ def aligned(wrapper: list[Part], page: list[Part]) -> list[Part]:
     return out
 
 
+def _unlike(streams: list[list[tuple[str, str | None]]]) -> list[list[tuple[str, str | None]]]:
+    """The streams without those whose article mostly is an earlier one's: copies of an article
+    would make its own text look like the template's."""
+    kept, texts = [], []
+    for stream in streams:
+        mine = {t for s, t in stream if s == "#root"}
+        size = sum(map(len, mine))
+        if not any(sum(map(len, mine & other)) >= COPY * max(size, n) for other, n in texts if mine and other):
+            kept.append(stream)
+            texts.append((mine, size))
+    return kept
+
+
 def infer(pages: list[str]) -> list[list]:
-    """The wrapper of a host from different pages: a list of [shape, keep, optional, group]. Keep is
-    None for a text of one page alone: nothing is known of it."""
+    """The wrapper of a host from different pages: a list of [shape, keep, optional, inner].
+    Keep is None for a text of one page alone: nothing is known of it. Inner are the parts of a
+    repeated group, or the texts of a leaf that belong to the template."""
+    streams = _unlike([page_stream(html) for html in pages])
     wrapper: list[Part] = []
-    for n, html in enumerate(pages):
-        page = folded(page_stream(html), n)
+    for n, stream in enumerate(streams):
+        page = folded(stream, n)
         wrapper = aligned(wrapper, page) if n else page
 
     def verdict(p: Part) -> list:
-        keep = p.shape == "#root" or (p.shape == "#body" and (p.slot or len(pages) < 3))
-        if p.shape == "#body" and not keep and len(p.pages) < 2:
+        keep = p.shape == "#root" or (p.shape == "#body" and (p.slot or len(streams) < CONSTANT_PAGES))
+        if p.shape == "#body" and not keep and len(p.pages()) < 2:
             keep = None
-        return [p.shape, keep, p.optional, [verdict(b) for b in p.body or []]]
+        return [p.shape, keep, p.optional, [verdict(b) for b in p.body] if p.body else p.constants()]
 
     return [verdict(p) for p in wrapper]
 
@@ -242,36 +270,43 @@ class Wrapper:
     def __init__(self, items: list[list]):
         self.items = items
         self.shapes = [i[0] for i in items]
-        self.groups = [[b[0] for b in i[3]] for i in items if i[3]]
-        self.known: dict[tuple[str, ...], list[bool]] = {}
+        self.groups = [[b[0] for b in i[3]] for i in items if i[0][0] == "("]
+        self.known: dict[tuple[str, ...], dict[int, list]] = {}
 
     def verdicts(self, stream: list[tuple[str, str | None]]) -> list[bool]:
-        """Which tokens of a page are main text. Pages of the same shape are aligned once."""
+        """Which tokens of a page are main text. Pages of the same shape are aligned once.
+
+        An article keeps its slots and loses the template's texts; if nothing but these is in it, it is kept whole."""
         key = tuple(s for s, _ in stream)
         if key not in self.known:
             if len(self.known) > 500:
                 self.known.clear()
             self.known[key] = self._align(stream)
-        return self.known[key]
+        own = own_verdicts(stream)
+        out, rooted = list(own), "#root" in key
+        for w, item in self.known[key].items():
+            if not rooted and item[1] is not None:
+                out[w] = item[1]
+            if out[w] and stream[w][1] in item[3]:
+                out[w] = False
+        return own if rooted and not any(out) else out
 
-    def _align(self, stream: list[tuple[str, str | None]]) -> list[bool]:
-        out = own_verdicts(stream)
-        if any(s == "#root" for s, _ in stream):
-            return out  # a page with an article has its main text there
+    def _align(self, stream: list[tuple[str, str | None]]) -> dict[int, list]:
+        """The wrapper's leaf that each text of a page stands at."""
         page = fold_like(folded(stream), self.groups)
         match = SequenceMatcher(None, self.shapes, [p.shape for p in page], autojunk=False)
+        out: dict[int, list] = {}
         for a, b, n in match.get_matching_blocks():
             for item, part in zip(self.items[a : a + n], page[b : b + n]):
-                self._apply(item, part, out)
+                self._place(item, part, out)
         return out
 
-    def _apply(self, item: list, part: Part, out: list[bool]) -> None:
+    def _place(self, item: list, part: Part, out: dict[int, list]) -> None:
         if part.body:
             for inner, p in zip(item[3], part.body):
-                self._apply(inner, p, out)
-        elif item[1] is not None:
-            for w in part.where:
-                out[w] = item[1]
+                self._place(inner, p, out)
+        elif item[0] in ("#root", "#body"):
+            out.update((w, item) for w in part.where)
 
 
 def own_verdicts(stream: list[tuple[str, str | None]]) -> list[bool]:
@@ -291,23 +326,39 @@ def host(url: Column) -> Column:
     return F.when(name != "", name)
 
 
-def salt() -> Column:
-    return F.pmod(F.xxhash64("page_id", "html"), F.lit(SALTS)).cast("int").alias("_salt")
+def _hot(counts: DataFrame) -> DataFrame:
+    """(_host, _salts) of the hosts whose pages are dealt to several parts: fewer than HOT_HOSTS rows."""
+    share = F.floor(counts.agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n")).scalar() / HOT_HOSTS)
+    part = F.greatest(F.lit(HOT_PAGES).cast("long"), share)
+    return counts.filter(F.col("_rows") > part).select(F.col("host").alias("_host"), F.ceil(F.col("_rows") / part).cast("int").alias("_salts"))
 
 
-def _for_all_salts(by_host: DataFrame) -> DataFrame:
-    """A row per host, repeated for every salt of the pages it is joined to."""
-    return by_host.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).hint("shuffle_hash")
+def host_pages(pages: DataFrame) -> DataFrame:
+    """(host, _h, _c): the different pages of every host by hash, with their copies, which are counted
+    before the shuffle. Only hosts and hashes are shuffled."""
+    rows = _hashed(pages).select("host", "_h")
+    return staged(rows.groupBy("host", "_h").agg(F.count(F.lit(1)).alias("_c")), "wrapper-pages")
 
 
-def host_wrappers(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:
-    """(host, wrapper) of every host, from about ``per_host`` different pages drawn by hash."""
-    rows = pages.select(host(F.col("url")).alias("host"), "html", F.xxhash64("html").bitwiseAND(2**63 - 1).alias("_h"), salt())
-    rows = rows.filter("host IS NOT NULL AND html IS NOT NULL")
-    n = staged(rows.select("host", "_h").distinct().groupBy("host").agg(F.count("*").alias("_n")), "wrapper-hosts")
-    n = n.select("host", F.when(F.col("_n") <= per_host, F.lit(2**63 - 1)).otherwise(
+def host_counts(each: DataFrame) -> DataFrame:
+    """(host, _n, _rows): different and all pages of every host."""
+    return staged(each.groupBy("host").agg(F.count(F.lit(1)).alias("_n"), F.sum("_c").alias("_rows")), "wrapper-hosts")
+
+
+def _hashed(pages: DataFrame) -> DataFrame:
+    rows = pages.select(host(F.col("url")).alias("host"), F.xxhash64("html").bitwiseAND(2**63 - 1).alias("_h"), "html")
+    return rows.filter("host IS NOT NULL AND html IS NOT NULL")
+
+
+def host_wrappers(pages: DataFrame, each: DataFrame, counts: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:
+    """(host, wrapper) of every host, from about ``per_host`` different pages drawn by hash.
+
+    The pages are drawn on hashes (``host_pages`` and ``host_counts``); html is joined to the drawn
+    hashes alone, which Spark broadcasts if they are few."""
+    limit = counts.select("host", F.when(F.col("_n") <= per_host, F.lit(2**63 - 1)).otherwise(
         (F.lit(float(2**63)) * per_host / F.col("_n")).cast("long")).alias("_limit"))
-    few = rows.join(_for_all_salts(n), ["host", "_salt"]).filter("_h <= _limit").dropDuplicates(["host", "_h"])
+    drawn = staged(each.join(limit, "host").filter("_h <= _limit").select("host", "_h"), "wrapper-sample")
+    few = _hashed(pages).join(drawn, ["host", "_h"], "left_semi").dropDuplicates(["host", "_h"])
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("_h").head(2 * per_host)
@@ -318,12 +369,21 @@ def host_wrappers(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame
 
 
 def extract(pages: DataFrame, per_host: int = PAGES_PER_HOST) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars."""
+    """One row per page: page_id, url, text, n_chars.
+
+    Few wrappers are broadcast by Spark and html isn't shuffled. Otherwise it is once, by host and part
+    of a host, so that the largest task follows HOT_PAGES and not the largest host."""
     small_batches(pages.sparkSession)
-    wrappers = host_wrappers(pages, per_host)
-    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("_host"), salt())
-    w = _for_all_salts(wrappers).withColumnRenamed("_salt", "_s")
-    rows = rows.join(w, (rows["_host"] == w["host"]) & (rows["_salt"] == w["_s"]), "left")
+    each = host_pages(pages)
+    counts = host_counts(each)
+    wrappers, hot = host_wrappers(pages, each, counts, per_host), F.broadcast(staged(_hot(counts), "wrapper-hot"))
+    salts = F.coalesce(F.col("_salts"), F.lit(1))
+    rows = pages.select("page_id", "url", "html", host(F.col("url")).alias("_host")).join(hot, "_host", "left")
+    salts_of_row = F.when(F.col("_host").isNull(), HOT_HOSTS).otherwise(salts)  # no host: joined to nothing, so spread
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "html"), salts_of_row).cast("int")).drop("_salts")
+    w = wrappers.withColumnRenamed("host", "_host").join(hot, "_host", "left")
+    w = staged(w.select("_host", "wrapper", F.explode(F.sequence(F.lit(0), salts - 1)).alias("_salt")), "wrappers-dealt")
+    rows = rows.join(w, ["_host", "_salt"], "left")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known: dict[str, Wrapper] = {}

@@ -82,3 +82,48 @@ def test_hidden_and_marks_are_whole_words():
         assert wrappers.main_text(f"<body><div class='{name}'><p>y</p><article><p>x</p></article></div></body>", None) == "x", name
     assert wrappers.main_text("<body><div class='with-sidebar'><p>x</p></div><div class='cookie-notice'>y</div></body>", None) == "x"
     assert wrappers.main_text("<body><article>x<div class='related'><article>y</article></div></article></body>", None) == "x"
+
+
+def article(k, extra="", title=None):
+    body = "".join(f"<p>body {k} {j} {'word ' * (k + j)}</p>" for j in range(2 + k % 3))
+    return PAGE.replace("{main}", f"<article><h1>{title or f'T{k}'}</h1>{body}{extra}</article>")
+
+
+def test_template_texts_inside_an_article_go():
+    note = "<div class='box'><p>Read more on our site and tell your friends</p></div>"
+    pages = [article(k, note if k % 4 else "") for k in range(12)]
+    w = wrappers.Wrapper(wrappers.infer(pages))
+    for k in range(12):
+        assert wrappers.main_text(pages[k], w) == wrappers.main_text(article(k), None)
+    assert "Read more" in wrappers.main_text(pages[1], None)
+    assert wrappers.main_text(article(40, note), w) == wrappers.main_text(article(40), None)
+    only = PAGE.replace("{main}", "<article>" + note + "</article>")  # nothing else: the article stays
+    assert wrappers.main_text(only, w) == wrappers.main_text(only, None)
+
+
+def test_copies_of_an_article_are_not_its_template():
+    pages = [article(5) + f"<!-- print {k} -->" for k in range(6)] + [article(k) for k in range(6, 10)]
+    w = wrappers.Wrapper(wrappers.infer(pages))
+    for page in pages:
+        assert wrappers.main_text(page, w) == wrappers.main_text(page, None)
+
+
+def test_several_layouts_of_a_host_in_spark(spark):
+    note = "<p>Read more on our site and tell your friends</p>"
+    html = [article(k, f"<section>{note}</section>") for k in range(6)]
+    html += [PAGE.replace("{main}", f"<div class=layout><h2>P{k}</h2><p>plain {k}</p></div><div><span>Read more</span></div>") for k in range(6)]
+    rows = [(i, f"http://{h}.example/{i}", x) for h in ("a", "b") for i, x in enumerate(html)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    want = [wrappers.main_text(article(k), None) for k in range(6)] + [f"P{k}\n\nplain {k}" for k in range(6)]
+    got = {(r["page_id"], r["url"]): r["text"] for r in wrappers.extract(df).collect()}
+    assert got == {(i, u): want[i] for i, u, _ in rows}
+
+
+def test_a_large_host_is_dealt_by_its_size(spark, monkeypatch):
+    monkeypatch.setattr(wrappers, "HOT_PAGES", 10)
+    rows = [(i, "http://big.example/x" if i % 3 else f"http://h{i}.example/x", article(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    counts = wrappers.host_counts(wrappers.host_pages(df))
+    assert [tuple(r) for r in wrappers._hot(counts).collect()] == [("big.example", 14)]
+    got = {r["page_id"]: r["text"] for r in wrappers.extract(df).collect()}
+    assert got == {i: wrappers.main_text(x, None) for i, _, x in rows}
