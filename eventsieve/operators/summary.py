@@ -263,6 +263,7 @@ def counts_per_window(raw: DataFrame, duration: str = "1 hour", slide: str | Non
 
 
 # ---- insights (F25) ------------------------------------------------------------------------
+# The texts of the all-clear and of the top-SKU message.
 def insights(raw: DataFrame, alerts: DataFrame, rejects: DataFrame, catalog: DataFrame,
              threshold: int = R.LOW_STOCK_THRESHOLD) -> DataFrame:
     """one message row per insight, each text built from an aggregate.
