@@ -5,7 +5,9 @@ A state holds what the summaries need of a folder and can be added up:
 * ``counts/<state>``: events by ``kind`` and ``label``: event type, source, entity, hour of the event
   time, stock level;
 * ``sketches/<state>``: an HLL sketch of the entities of every hour (relative standard error
-  1.04 / sqrt(2 ** SKETCH_BITS), 0.8 %), to be unioned over any range of hours.
+  1.04 / sqrt(2 ** SKETCH_BITS), 0.8 %), to be unioned over any range of hours;
+* ``latest/<state>``: the latest row of every entity of the folder; the latest of these is the latest
+  of all, in whatever order batches came.
 
 ``refresh`` reads the folders of raw that have no state yet, and nothing else of raw. A folder that
 ``ManagedTable.compact`` has merged gets the sum of its sources' states. A replayed batch is a new
@@ -20,12 +22,17 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from eventsieve import schemas
 from eventsieve.functions import rules as R
+from eventsieve.operators.latest import LATEST, latest_stored, merged
+from eventsieve.session import scratch_scope
 from eventsieve.streaming.tables import KEEP_VERSIONS, ManagedTable, Part, SnapshotLog, vacuum
 
 SKETCH_BITS = 14
+# Raised when states hold more than before: older ones are then made anew.
+STATE_VERSION = 2
 COUNTS = "kind string, label string, events long"
 SKETCHES = "hour string, sketch binary"
 
@@ -63,30 +70,34 @@ class SummaryStates:
         self.raw = ManagedTable(spark, raw_path, schemas.RAW)
         self.log = SnapshotLog(spark, self.path)
 
-    def _read(self, what: str, schema: str, states: list[Part]) -> DataFrame:
+    def _read(self, what: str, schema: str | StructType, states: list[Part]) -> DataFrame:
         folders = [f"{self.path}/{what}/{p.name}" for p in states]
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
-    def _write(self, counts: DataFrame, sketches: DataFrame, of: Part) -> Part:
+    def _write(self, counts: DataFrame, sketches: DataFrame, latest: DataFrame, of: Part) -> Part:
         name = uuid.uuid4().hex
         counts.sortWithinPartitions("kind", "label").write.parquet(f"{self.path}/counts/{name}")
         sketches.write.parquet(f"{self.path}/sketches/{name}")
+        latest.write.parquet(f"{self.path}/latest/{name}")
         return Part(name, of.level, of.key, of.rows, {"raw": of.name})
 
     def _of_folder(self, part: Part) -> tuple[Part, int]:
         """The state of a folder of raw, and the rows read for it."""
         rows, seen = self.spark.read.schema(self.raw.schema).parquet(self.raw.folder(part.name)), Observation()
-        state = self._write(folder_counts(rows.observe(seen, F.count(F.lit(1)).alias("n"))), folder_sketches(rows), part)
+        with scratch_scope(self.spark):
+            state = self._write(folder_counts(rows.observe(seen, F.count(F.lit(1)).alias("n"))), folder_sketches(rows),
+                                latest_stored(rows), part)
         return state, int(seen.get["n"])
 
     def _of_sources(self, part: Part, sources: list[Part]) -> Part:
         return self._write(added_counts(self._read("counts", COUNTS, sources)),
-                           united_sketches(self._read("sketches", SKETCHES, sources)), part)
+                           united_sketches(self._read("sketches", SKETCHES, sources)),
+                           merged(self._read("latest", LATEST, sources)), part)
 
     def refresh(self) -> int:
         """Bring the states to the newest version of raw; the rows of raw that were read."""
         version, folders = self.raw.log.read()
-        have = {p.extra["raw"]: p for p in self.log.read()[1]}
+        have = {p.extra["raw"]: p for p in self.log.read()[1] if p.extra.get("state") == STATE_VERSION}
         states, n = [], 0
         for part in folders:
             sources = [have.get(name) for name in part.extra.get("of", ())]
@@ -97,7 +108,7 @@ class SummaryStates:
             else:
                 state, rows = self._of_folder(part)
                 n += rows
-            states.append(Part(state.name, part.level, part.key, part.rows, {"raw": part.name, "version": version}))
+            states.append(Part(state.name, part.level, part.key, part.rows, {"raw": part.name, "version": version, "state": STATE_VERSION}))
         newer = lambda parts: any(p.extra["version"] > version for p in parts)  # noqa: E731  (another run was faster)
         if states:
             self.log.update(lambda parts: parts if newer(parts) else states)
@@ -112,8 +123,12 @@ class SummaryStates:
         """(hour, sketch) likewise."""
         return united_sketches(self._read("sketches", SKETCHES, self.log.read()[1]))
 
+    def latest(self) -> DataFrame:
+        """A8 likewise: the latest row per entity, columns as ``summary.latest_state``."""
+        return merged(self._read("latest", LATEST, self.log.read()[1]))
+
     def vacuum(self, keep_versions: int = KEEP_VERSIONS) -> int:
-        return vacuum(self.log, [f"{self.path}/counts", f"{self.path}/sketches"], keep_versions)
+        return vacuum(self.log, [f"{self.path}/{what}" for what in ("counts", "sketches", "latest")], keep_versions)
 
 
 def kpis_of(counts: DataFrame, quarantined: int, threshold: int = R.LOW_STOCK_THRESHOLD) -> DataFrame:

@@ -55,7 +55,9 @@ def cmd_ingest(spark: SparkSession, ns) -> dict:
                             F.monotonically_increasing_id().alias("seq"))
     cfg = I.IngestConfig(raw_path=ns.raw, rejects_path=ns.rejects, metrics_path=ns.metrics, ingest_name=ns.name,
                          files_per_batch=ns.files,
-                         source_name=f"{ns.bootstrap}/{ns.topics}" if ns.source == "kafka" else ns.input, **_lists(ns))
+                         source_name=f"{ns.bootstrap}/{ns.topics}" if ns.source == "kafka" else ns.input,
+                         broker=ns.bootstrap if ns.source == "kafka" else None,
+                         topic=ns.topics if ns.source == "kafka" else None, **_lists(ns))
     q = I.start_ingest(lines, cfg, ns.checkpoint, processing_time=ns.trigger, available_now=ns.available_now)
     I.run_until_done(q, ns.timeout)
     return I.metrics_totals(I.read_metrics(spark, ns.metrics)).first().asDict()

@@ -17,6 +17,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from eventsieve import schemas
 from eventsieve.functions import rules as R
 from eventsieve.operators import checks, recovery, states, summary
+from eventsieve.operators.latest import LATEST
 from eventsieve.session import scratch_scope, stored
 from eventsieve.sources.readers import history_ids, read_raw, read_rejects, read_table
 from eventsieve.streaming.ingest import id_index
@@ -30,6 +31,8 @@ COUNTS = StructType([StructField("kind", StringType()), StructField("label", Str
 KPIS = StructType([StructField(c, LongType()) for c in ("total_transactions", "active_skus", "low_stock_events", "quarantined_events")])
 CATEGORIES = StructType([StructField("category", StringType()), StructField("transactions", LongType())])
 ACTIVE = StructType([StructField("day", StringType()), StructField("active_skus", LongType())])
+LOW_STOCK = StructType([LATEST[c] for c in ("entity_id", "event_id", "current_stock_level")]
+                       + [StructField(c, StringType()) for c in ("display_name", "category")])
 INSIGHTS = StructType([StructField("kind", StringType()), StructField("message", StringType())])
 ORIGIN_RECOVERY = "recovery"
 
@@ -91,8 +94,8 @@ def curated_tables(spark: SparkSession, raw_path: str, rejects_path: str, catalo
 def incremental_summary(spark: SparkSession, raw_path: str, rejects_path: str, catalog: DataFrame, curated_path: str,
                         threshold: int = R.LOW_STOCK_THRESHOLD, files: int | None = None) -> DataFrame:
     """A3-A6, A13-A15 as ``curated_tables`` writes them, for a managed raw table: only folders of raw
-    that no earlier run has seen are read. Adds ``active_by_day`` (A4 by day, estimated). Managed
-    rejects are counted from their log."""
+    that no earlier run has seen are read. Adds ``active_by_day`` (A4 by day, estimated), ``latest``
+    (A8) and ``low_stock`` (P15). Managed rejects are counted from their log."""
     start = _now()
     held = states.SummaryStates(spark, raw_path)
     rows_read = held.refresh()
@@ -106,9 +109,13 @@ def incremental_summary(spark: SparkSession, raw_path: str, rejects_path: str, c
         "kpis": (states.kpis_of(held.counts(), quarantined, threshold), KPIS),
         "categories": (summary.ranked_categories(per_sku, catalog), CATEGORIES),
         "active_by_day": (states.active_by_day(held.sketches()), ACTIVE),
+        "latest": (held.latest(), LATEST),
     }
     for name, (df, _) in tables.items():
         write_table(df, f"{curated_path}/{name}", files)
+    low = summary.low_stock_skus(spark.read.schema(LATEST).parquet(f"{curated_path}/latest"), catalog, threshold)
+    write_table(low, f"{curated_path}/low_stock", files)
+    tables["low_stock"] = (low, LOW_STOCK)
     gate = checks.output_gate(spark, {n: (f"{curated_path}/{n}", schema) for n, (_, schema) in tables.items()})
     _record(spark, "incremental", f"{curated_path}/runs", start, rows_read=rows_read, **{r["output"]: r["row_count"] for r in gate.collect()})
     return gate

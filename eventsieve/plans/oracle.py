@@ -445,3 +445,9 @@ ORACLE_SQL["incremental_kpis"] = ORACLE_SQL["curated_kpis"]
 ORACLE_SQL["active_skus_by_day"] = with_(VALID) + """, t AS (SELECT try_strptime(event_ts, '%Y-%m-%dT%H:%M:%SZ') AS t, entity_id FROM valid)
 SELECT strftime(t, '%Y-%m-%d') AS day, count(DISTINCT entity_id) AS active_skus, TRUE AS estimate_is_close
 FROM t WHERE t IS NOT NULL AND entity_id IS NOT NULL GROUP BY 1"""
+ORACLE_SQL["incremental_latest"] = ORACLE_SQL["latest_state_stored"] = ORACLE_SQL["latest_state"]
+ORACLE_SQL["incremental_low_stock"] = ORACLE_SQL["low_stock_skus"]
+ORACLE_SQL["heavy_entities"] = with_(VALID) + """SELECT entity_id, count(*) AS events FROM valid WHERE entity_id IS NOT NULL
+GROUP BY entity_id ORDER BY events DESC, entity_id LIMIT 20"""
+ORACLE_SQL["heavy_parts"] = """SELECT 'SKU-' || CAST(l_partkey AS VARCHAR) AS entity_id, count(*) AS events FROM lineitem
+WHERE l_partkey IS NOT NULL GROUP BY 1 ORDER BY events DESC, entity_id LIMIT 20"""

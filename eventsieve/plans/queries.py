@@ -17,6 +17,8 @@ from eventsieve.operators import ledger as L
 from eventsieve.operators import quality as Q
 from eventsieve.operators import recovery as H
 from eventsieve.operators import summary as S
+from eventsieve.operators.heavy import heavy_hitters
+from eventsieve.operators.latest import latest_stored
 from eventsieve.session import scratch_path, stored
 from eventsieve.sources import fixtures as fx
 from eventsieve.streaming import windows as W
@@ -523,6 +525,31 @@ def q_active_skus_by_day(spark, d):
     return both.select("day", "active_skus", F.coalesce(close, F.lit(False)).alias("estimate_is_close"))
 
 
+def q_incremental_latest(spark, d):
+    """A8 from mergeable states: the latest of each folder's latest rows."""
+    return spark.read.parquet(f"{_incremental(spark, d)[0]}/curated/latest")
+
+
+def q_incremental_low_stock(spark, d):
+    """P15 + J2 over the latest-state table."""
+    return spark.read.parquet(f"{_incremental(spark, d)[0]}/curated/low_stock")
+
+
+def q_latest_state_stored(spark, d):
+    """A8 over the stored raw table: packed maxima by a hash aggregate, then the winners' rows."""
+    return latest_stored(stored_split(spark, d)[0])
+
+
+def q_heavy_entities(spark, d):
+    """A9 + T4 kind: the 20 most active entities of the stored raw table by sketched candidates."""
+    return heavy_hitters(stored_split(spark, d)[0], "entity_id", 20)
+
+
+def q_heavy_parts(spark, d):
+    """The 20 most frequent SKUs of the benchmark facts, where all SKUs are about as frequent."""
+    return heavy_hitters(fx.bench_facts(spark, d), "entity_id", 20)
+
+
 def q_insights_fallback(spark, d):
     """F25 without any low-stock event (levels below 0): the all-clear row."""
     return _curated(spark, d, "insights", 0)
@@ -594,4 +621,9 @@ QUERIES: dict[str, Query] = {
     "incremental_kpis": q_incremental_kpis,
     "active_skus_by_day": q_active_skus_by_day,
     "insights_fallback": q_insights_fallback,
+    "incremental_latest": q_incremental_latest,
+    "incremental_low_stock": q_incremental_low_stock,
+    "latest_state_stored": q_latest_state_stored,
+    "heavy_entities": q_heavy_entities,
+    "heavy_parts": q_heavy_parts,
 }

@@ -114,5 +114,8 @@ METRICS = StructType(
         StructField("total_records", LongType(), True),
         StructField("valid_records", LongType(), True),
         StructField("rejected_records", LongType(), True),
+        StructField("broker", StringType(), True),
+        StructField("topic", StringType(), True),
+        StructField("duration_ms", LongType(), True),
     ]
 )

@@ -58,6 +58,9 @@ class IngestConfig:
     files_per_batch: int | None = None
     hot_rows: int = HOT_KEY_ROWS
     source_name: str = "lines"
+    # Metrics columns; null for a source that has none.
+    broker: str | None = None
+    topic: str | None = None
     # Raw and rejects as managed tables, with an id index beside raw; folders merge every ``compact_every`` batches.
     managed: bool = False
     compact_every: int = 8
@@ -130,6 +133,7 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: DataFrame, batc
         "run_id": cfg.run_id, "batch_id": int(batch_id), "start_ts": start, "end_ts": end,
         "source": cfg.source_name, "raw_path": cfg.raw_path, "rejects_path": cfg.rejects_path,
         **{k: int(v) for k, v in counts.items()},
+        "broker": cfg.broker, "topic": cfg.topic, "duration_ms": int((end - start).total_seconds() * 1000),
     }
     metrics = spark.createDataFrame([row], schemas.METRICS)
     metrics.write.mode("overwrite").parquet(batch_folder(cfg.metrics_path, ORIGIN_STREAM, cfg.ingest_name, batch_id))
