@@ -15,8 +15,11 @@ Control strings inside texts and roles are escaped: a backslash goes after the f
 control string, and a control string that already has backslashes there gets one more, so escaping
 is reversible.
 
-Turns are repartitioned by conversation, sorted and streamed: a task holds one turn at a time, so a
-conversation of any length needs no more memory.
+Turns are rendered and read back where they are read, before any shuffle, so a conversation of any
+length is spread over all tasks. Only a template that names ``first`` needs to know each conversation's
+first row; it is found by an aggregate and joined back on row numbers, which spread as well. What a
+conversation's digests take is then sorted by turn and streamed: that task holds one batch at a time and
+does nothing but hash, which can't be split, since a SHA-256 reads its bytes in order.
 
 Defined results: a null text is empty and a null role is the empty role; a null conv_id is a
 conversation of its own; turns of equal number go by role, then text; repeated rows are repeated
@@ -34,6 +37,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches, staged
+
 #: The control strings of the default template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<<ROLE>>", "<</ROLE>>")
 TEMPLATE = (
@@ -304,38 +309,75 @@ def read_turns(formatted: str) -> Iterator[tuple[str, str]]:
 # --- Spark -------------------------------------------------------------------------------------
 
 SCHEMA = "conv_id long, turn long, formatted string, loss array<struct<start:int,end:int>>"
+#: A turn as it reads back: its text under the loss mask is null where that is the whole text.
+READ = "conv string, turn long, part int, role string, said string, loss string, chars long"
+
+
+def _names(node: Node) -> set[str]:
+    """The names that a folded tree asks for."""
+    kind, *inner = node
+    if kind == "name":
+        return {inner[0]}
+    return set().union(*[_names(x) for x in inner if isinstance(x, tuple)])
+
 
+def _with_first(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``first``: true for one row of each conversation, the least by turn, role and text."""
+    rows = staged(rows.withColumn("_id", F.monotonically_increasing_id()), "chat-turns")
+    least = rows.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text", "_id")).alias("_m"))
+    least = staged(least.select("_m._id", F.lit(True).alias("_first")), "chat-first")
+    return rows.join(least, "_id", "left").withColumn("first", F.coalesce("_first", F.lit(False))).drop("_id", "_first")
 
-def _ordered(conversations: DataFrame) -> DataFrame:
+
+def format_turns(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
+    """One row per turn: the formatted text, and the spans of it under the loss mask. The turns' texts, by
+    turn (then role and text as they read back), are the formatted conversation."""
+    small_batches(conversations.sparkSession)
     rows = conversations.select(
         F.col("conv_id").cast("string").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text")
+    if "first" in _names(fold(parse(template))):
+        rows = _with_first(rows)
+    else:
+        rows = rows.withColumn("first", F.lit(False))
 
-
-def format_turns(conversations: DataFrame, template: str = TEMPLATE) -> DataFrame:
-    """One row per turn, in order within its conversation: the formatted text, and the spans of it
-    under the loss mask. The turns' texts in order are the formatted conversation."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         render = compile_template(template)
-        before: object = run  # no conversation yet; ids travel as text, so null stays apart from numbers
         for batch in batches:
             texts, masks = [], []
-            for conv, role, text in zip(batch["conv_id"], batch["role"], batch["text"]):
+            for role, text, first in zip(batch["role"], batch["text"], batch["first"]):
                 at, spans, out = 0, [], []
-                for part, loss in render(role, text, conv != before):
+                for part, loss in render(role, text, bool(first)):
                     if loss:
                         spans.append({"start": at, "end": at + len(part)})
                     at += len(part)
                     out.append(part)
-                before = conv
                 texts.append("".join(out))
                 masks.append(spans)
+            # ids travel as text, so null stays apart from numbers
             ids = pd.Series([None if c is None else int(c) for c in batch["conv_id"]], dtype="Int64")
             turns = pd.Series(batch["turn"].to_numpy(), dtype="Int64")
             yield pd.DataFrame({"conv_id": ids, "turn": turns, "formatted": texts, "loss": masks})
 
-    return _ordered(conversations).mapInPandas(run, SCHEMA)
+    return rows.mapInPandas(run, SCHEMA)
+
+
+def read_back(formatted: DataFrame) -> DataFrame:
+    """The turns of ``format_turns`` (default template), read from the formatted text and the mask alone."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = []
+            for conv, turn, text, spans in zip(batch["conv"], batch["turn"], batch["formatted"], batch["loss"]):
+                masked = "".join([unescape(text[s["start"] : s["end"]]) for s in spans])
+                for k, (role, said) in enumerate(read_turns(text)):
+                    loss, chars = ("", 0) if k else (masked, len(text))  # a row is one turn; both are the row's
+                    out.append((conv, turn, k, role, said, None if loss == said else loss, chars))
+            frame = pd.DataFrame(out, columns=["conv", "turn", "part", "role", "said", "loss", "chars"])
+            frame["turn"] = pd.Series([None if pd.isna(t) else int(t) for t in frame["turn"]], dtype="Int64")
+            yield frame
+
+    rows = formatted.select(F.col("conv_id").cast("string").alias("conv"), "turn", "formatted", "loss")
+    return rows.mapInPandas(run, READ)
 
 
 @dataclass
@@ -359,34 +401,32 @@ DIGEST = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "fo
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
     out = pd.DataFrame([r[1:] for r in rows], columns=DIGEST[1:])
-    out.insert(0, "conv_id", pd.Series([r[0] for r in rows], dtype="Int64"))
+    out.insert(0, "conv_id", pd.Series([None if r[0] is None else int(r[0]) for r in rows], dtype="Int64"))
     return out
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """One row per conversation, read back from the formatted text and the loss mask alone."""
+    """One row per conversation, of its turns as they read back."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         now: _Digest | None = None
         for batch in batches:
             done = []
-            for conv, text, spans in zip(batch["conv_id"], batch["formatted"], batch["loss"]):
-                conv = None if conv is None else int(conv)
+            for conv, role, said, loss, chars in zip(*[batch[c] for c in ("conv", "role", "said", "loss", "chars")]):
                 if now is None or now.conv != conv:
                     if now is not None:
                         done.append(now.row())
                     now = _Digest(conv)
-                for role, said in read_turns(text):
-                    now.n += 1
-                    now.turns.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
-                for s in spans:
-                    said = unescape(text[s["start"] : s["end"]])
-                    now.loss += len(said)
-                    now.mask.update(said.encode("utf-8", "surrogatepass"))
-                now.chars += len(text)
+                loss = said if loss is None else loss
+                now.n += 1
+                now.turns.update(f"{role}\n{said}\n".encode("utf-8", "surrogatepass"))
+                now.loss += len(loss)
+                now.mask.update(loss.encode("utf-8", "surrogatepass"))
+                now.chars += int(chars)
             if done:
                 yield _frame(done)
         if now is not None:
             yield _frame([now.row()])
 
-    return formatted.withColumn("conv_id", F.col("conv_id").cast("string")).mapInPandas(
+    turns = read_back(formatted).repartition("conv").sortWithinPartitions("conv", "turn", "role", "said", "part")
+    return turns.mapInPandas(
         run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
