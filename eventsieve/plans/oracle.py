@@ -451,3 +451,9 @@ ORACLE_SQL["heavy_entities"] = with_(VALID) + """SELECT entity_id, count(*) AS e
 GROUP BY entity_id ORDER BY events DESC, entity_id LIMIT 20"""
 ORACLE_SQL["heavy_parts"] = """SELECT 'SKU-' || CAST(l_partkey AS VARCHAR) AS entity_id, count(*) AS events FROM lineitem
 WHERE l_partkey IS NOT NULL GROUP BY 1 ORDER BY events DESC, entity_id LIMIT 20"""
+ORACLE_SQL["stream_keyed_dedup"] = with_(PARSED) + """, ids AS (
+  SELECT seq, arrival_ts, nullif(event_id, '') AS event_id,
+    CASE WHEN seq <= (SELECT floor(max(seq) / 2) FROM parsed) THEN 1 ELSE 2 END AS run FROM parsed
+)
+SELECT seq, event_id, event_id IS NOT NULL
+  AND row_number() OVER (PARTITION BY event_id ORDER BY run, arrival_ts NULLS LAST, seq) > 1 AS is_duplicate FROM ids"""

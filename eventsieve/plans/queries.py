@@ -550,6 +550,22 @@ def q_heavy_parts(spark, d):
     return heavy_hitters(fx.bench_facts(spark, d), "entity_id", 20)
 
 
+def q_stream_keyed_dedup(spark, d):
+    """ST5 by keyed state: two runs on one checkpoint, the second with the later half of the sequence."""
+    from eventsieve.sources.readers import read_lines_stream, read_table
+    from eventsieve.streaming import dedup
+    from eventsieve.streaming.ingest import run_until_done
+
+    base = scratch_path(spark, "keyed_dedup")
+    feed = fx.raw_lines(spark, d)
+    half = feed.agg(F.floor(F.max("seq") / 2)).first()[0]
+    for part in (feed.filter(F.col("seq") <= half), feed.filter(F.col("seq") > half)):
+        part.write.mode("append").parquet(f"{base}/in")
+        marked = dedup.mark_repeats(read_lines_stream(spark, f"{base}/in"))
+        run_until_done(dedup.start_marked(marked, f"{base}/ckpt", f"{base}/out"))
+    return read_table(spark, f"{base}/out", dedup.MARKED).select("seq", "event_id", "is_duplicate")
+
+
 def q_insights_fallback(spark, d):
     """F25 without any low-stock event (levels below 0): the all-clear row."""
     return _curated(spark, d, "insights", 0)
@@ -626,4 +642,5 @@ QUERIES: dict[str, Query] = {
     "latest_state_stored": q_latest_state_stored,
     "heavy_entities": q_heavy_entities,
     "heavy_parts": q_heavy_parts,
+    "stream_keyed_dedup": q_stream_keyed_dedup,
 }
