@@ -129,3 +129,46 @@ def test_junk_below_the_old_steps_goes(spark):
     assert judged.filter("base_failed").count() == 0
     kept = {r["doc_id"] for r in judged.filter("kept").collect()}
     assert kept == set(range(100, 400))
+
+
+def test_every_row_is_in_the_trees_and_every_label_counts(spark):
+    """No sample: the roots hold all rows, and thresholds equal those of all labelled rows in memory."""
+    n, seen = 26_000, quality.STATS
+    stats = spark.range(n).selectExpr(
+        "id AS doc_id", "60 + id % 50 AS n_words", "300 + id % 70 AS word_chars", "id % 7 AS n_symbols", "id % 3 AS n_dup_lines", "id % 5 AS n_repeat_words",
+        "5 + id % 2 AS n_lines").localCheckpoint()
+    counts = {}
+    grown = quality.extremes
+
+    def watched(feature, split, child, place, level, trees, each):
+        of_rows = grown(feature, split, child, place, level, trees, each)
+        if level == 0:
+            root = next(of_rows(iter([stats.selectExpr(f"pmod(xxhash64(7, doc_id, {', '.join(seen)}), 100) AS tree", *seen).toPandas()])))
+            counts.update(zip(root["id"], root["n"]))
+        return of_rows
+
+    quality.extremes = watched
+    try:
+        labels = spark.range(n).selectExpr("id AS doc_id", "CAST(id % 40 != 0 AS INT) AS quality", "0 AS toxic")
+        rules = quality.fit(stats, labels)
+    finally:
+        quality.extremes = grown
+    assert sum(counts.values()) == n * len(quality.GROUPS)
+    rows = stats.join(labels, "doc_id").select("quality", *seen).toPandas()
+    fine = rows[(rows.n_words >= 50) & (100 * rows.n_repeat_words <= 50 * rows.n_words)]
+    good, bad = (rules.scores(fine[fine.quality == q][seen].to_numpy()) for q in (1, 0))
+    assert len(good["all"]) + len(bad["all"]) > 20_000
+    for name, forest in rules.forests.items():
+        if forest.threshold < float("inf"):
+            set_, forest.threshold = forest.threshold, None
+            forest.calibrate(good[name], bad[name], quality.MAX_FALSE_REJECTS / len(quality.GROUPS))
+            assert forest.threshold == set_
+
+
+def test_kth_largest_is_exact(spark):
+    rng = np.random.default_rng(3)
+    values = {"a": rng.exponential(1, 3000), "b": rng.integers(0, 3, 3000) / 7, "c": np.full(3000, 0.25)}
+    rows = [(name, float(v)) for name, vs in values.items() for v in vs]
+    df = spark.createDataFrame(rows, "name string, score double")
+    for k in (0, 17, 2999):
+        assert quality.kth_largest(df, k, 16) == {name: float(np.sort(vs)[::-1][k]) for name, vs in values.items()}
