@@ -7,7 +7,7 @@ Per micro-batch:
 2. empty batch → metrics row only (ST7);
 3. history = ids of raw **except this batch's own folder** (a retry sees the same
    history as the first attempt, D6); the history is semi-joined to the batch keys;
-4. validate and persist (both sides are written from it);
+4. validate and store (both sides are written from it, a split at a time);
 5. overwrite both batch folders (raw and rejects, also when a side is empty); their rows are
    counted while they are written (A1);
 6. overwrite this batch's metrics folder (ST8).
@@ -38,7 +38,7 @@ from eventsieve.operators.id_index import IdIndex
 from eventsieve.operators.keys import HOT_KEY_ROWS
 from eventsieve.operators.quality import DEFAULT_ORDER, numbered, parse_events, split_events, validate_events
 from eventsieve.operators.states import SummaryStates
-from eventsieve.session import scratch_scope
+from eventsieve.session import scratch_scope, stored
 from eventsieve.sources.readers import history_ids
 from eventsieve.streaming.sinks import batch_folder, layout_filter, write_batch
 from eventsieve.streaming.tables import FANOUT, ManagedTable
@@ -120,14 +120,12 @@ def process_batch(spark: SparkSession, cfg: IngestConfig, batch: DataFrame, batc
             validated = validate_events(
                 parsed, _history(spark, cfg, batch_id), allowed_types=cfg.allowed_types, allowed_sources=cfg.allowed_sources,
                 order_by=cfg.order_by, hot_rows=cfg.hot_rows,
-            ).persist()
-            try:
-                valid, rejects = split_events(validated)
-                n_valid = _write_raw(spark, cfg, valid, batch_id)
-                n_rejected = _write(spark, cfg, rejects, cfg.rejects_path, schemas.REJECTS, batch_id)
-                counts = {"total_records": n_valid + n_rejected, "valid_records": n_valid, "rejected_records": n_rejected}
-            finally:
-                validated.unpersist()
+            )
+            # stored, not cached: a cached partition is read whole by one task, a stored table by splits of bounded size
+            valid, rejects = split_events(stored(validated.select("json_string", "data", "errors"), "validated"))
+            n_valid = _write_raw(spark, cfg, valid, batch_id)
+            n_rejected = _write(spark, cfg, rejects, cfg.rejects_path, schemas.REJECTS, batch_id)
+            counts = {"total_records": n_valid + n_rejected, "valid_records": n_valid, "rejected_records": n_rejected}
     end = _dt.datetime.now(_dt.timezone.utc)
     row = {
         "run_id": cfg.run_id, "batch_id": int(batch_id), "start_ts": start, "end_ts": end,

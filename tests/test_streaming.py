@@ -122,3 +122,21 @@ def test_kafka_projections_without_broker(spark):
     assert [r.key for r in keyed] == ["E", None] and keyed[0].topic == "t"
     routed = replay.route_by_type(df, [("view", "views")], "other").collect()
     assert [r.topic for r in routed] == ["views", "other"]
+
+
+def test_a_batch_is_stored_and_never_cached(spark, scratch, monkeypatch):
+    """A cached partition is one task's read, however large the batch."""
+    from test_managed_tables import ROW
+
+    from eventsieve.streaming import ingest
+
+    lines = lines_df(spark, [(1, 0, ROW % "a"), (2, 1, ROW % "a"), (3, 2, ROW % "b"), (4, 3, "{bad")])
+    cfg = ingest.IngestConfig(raw_path=f"{scratch}/raw", rejects_path=f"{scratch}/rejects", metrics_path=f"{scratch}/metrics", ingest_name="q",
+                              allowed_types=("view",), allowed_sources=("app",))
+    def refused(*_):
+        raise AssertionError("cached")
+    monkeypatch.setattr(type(lines), "persist", refused)
+    monkeypatch.setattr(type(lines), "cache", refused)
+    row = ingest.process_batch(spark, cfg, lines, 0)
+    assert (row["total_records"], row["valid_records"], row["rejected_records"]) == (4, 2, 2)
+    assert spark.read.parquet(f"{scratch}/raw").count() == 2 and spark.read.parquet(f"{scratch}/rejects").count() == 2
