@@ -103,16 +103,18 @@ def incremental_summary(spark: SparkSession, raw_path: str, rejects_path: str, c
         quarantined = sum(p.rows for p in ManagedTable(spark, rejects_path, schemas.REJECTS).log.read()[1])
     else:
         quarantined = read_rejects(spark, rejects_path).count()
-    per_sku = held.counts("entity").select(F.col("label").alias("sku_id"), F.col("events").alias("n"))
-    tables = {
-        "counts": (states.count_rows(held.counts()), COUNTS),
-        "kpis": (states.kpis_of(held.counts(), quarantined, threshold), KPIS),
-        "categories": (summary.ranked_categories(per_sku, catalog), CATEGORIES),
-        "active_by_day": (states.active_by_day(held.sketches()), ACTIVE),
-        "latest": (held.latest(), LATEST),
-    }
-    for name, (df, _) in tables.items():
-        write_table(df, f"{curated_path}/{name}", files)
+    with scratch_scope(spark):
+        counts = stored(held.counts(), "state-counts")  # added up once for three tables
+        per_sku = counts.filter("kind = 'entity'").select(F.col("label").alias("sku_id"), F.col("events").alias("n"))
+        tables = {
+            "counts": (states.count_rows(counts), COUNTS),
+            "kpis": (states.kpis_of(counts, quarantined, threshold), KPIS),
+            "categories": (summary.ranked_categories(per_sku, catalog), CATEGORIES),
+            "active_by_day": (states.active_by_day(held.sketches()), ACTIVE),
+            "latest": (held.latest(), LATEST),
+        }
+        for name, (df, _) in tables.items():
+            write_table(df, f"{curated_path}/{name}", files)
     low = summary.low_stock_skus(spark.read.schema(LATEST).parquet(f"{curated_path}/latest"), catalog, threshold)
     write_table(low, f"{curated_path}/low_stock", files)
     tables["low_stock"] = (low, LOW_STOCK)

@@ -316,7 +316,7 @@ def q_compacted_raw(spark, d):
     """K7: raw written as nine batches of a managed table, merged by threes, read back."""
     from eventsieve.streaming.tables import ManagedTable
 
-    rows = stored(stored_split(spark, d)[0].withColumn("_batch", F.pmod(F.xxhash64("event_id"), F.lit(9))), "nine-batches")
+    rows = stored(stored_split(spark, d)[0].withColumn("_batch", F.pmod(F.xxhash64("event_id"), F.lit(9))), "nine-batches", by="_batch")
     t = ManagedTable(spark, f"{scratch_path(spark, 'compacted')}/raw", schemas.RAW)
     for k in range(9):
         t.write(rows.filter(F.col("_batch") == k), "stream", "q", k)
@@ -489,7 +489,7 @@ def _incremental(spark, d):
 
     base = scratch_path(spark, "incremental")
     valid, rej = stored_split(spark, d)
-    rows = stored(valid.withColumn("_batch", F.pmod(F.xxhash64("event_id"), F.lit(9))), "nine-batches")
+    rows = stored(valid.withColumn("_batch", F.pmod(F.xxhash64("event_id"), F.lit(9))), "nine-batches", by="_batch")
     t = ManagedTable(spark, f"{base}/raw", schemas.RAW)
     ManagedTable(spark, f"{base}/rejects", schemas.REJECTS).write(rej, "stream", "q", 0)
     catalog = fx.catalog(spark, d)

@@ -167,3 +167,15 @@ def test_recovery_writes_to_managed_tables_once(spark, scratch):
     assert ids_of(spark, c) == ["a", "b"]
     I.process_batch(spark, c, batch(spark, ["b"]), 2)  # a recovered id is history
     assert ids_of(spark, c) == ["a", "b"]
+
+
+def test_a_batch_of_a_table_stored_by_batch_reads_its_own_files(spark):
+    from eventsieve.session import stored
+
+    rows = stored(spark.range(90).selectExpr("id", "id % 9 AS _batch"), "by-batch", by="_batch")
+    one = rows.filter("_batch = 4")
+    assert sorted(r.id for r in one.collect()) == list(range(4, 90, 9))
+    assert rows.columns == ["id", "_batch"] and rows.schema["_batch"].dataType.typeName() == "long"
+    files = {f.file for f in one.selectExpr("_metadata.file_path AS file").collect()}
+    assert all("_batch=4" in f for f in files)
+    assert "PartitionFilters: [isnotnull(_batch" in one._jdf.queryExecution().toString().replace("`", "")
